@@ -5,8 +5,10 @@ from __future__ import annotations
 from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .ngram_join import ngram_join
+from .substring_dedup import substring_dedup
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +16,12 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(spark.read.parquet(f"{sf_dir}/documents.parquet"), Fraction(3, 4), 5)
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join,)}
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words over all documents."""
+    cut = substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), min_words=50)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op9_substring_dedup)}
 
 ORACLES: dict[str, str] = {}
