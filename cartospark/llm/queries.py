@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ngram_join import ngram_join
+from .pitman_yor import language_model_scores
 from .substring_dedup import substring_dedup
 
 
@@ -22,6 +23,11 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op9_substring_dedup)}
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hierarchical Pitman-Yor bigram model over all documents; remainder 2 modulo 7 is held out."""
+    return language_model_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), modulus=7, held=2)
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op9_substring_dedup, op10_lm_scoring)}
 
 ORACLES: dict[str, str] = {}
