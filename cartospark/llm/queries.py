@@ -7,9 +7,15 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import compression_classifier
+from .decontamination import benchmark_matches
 from .ngram_join import ngram_join
 from .pitman_yor import language_model_scores
 from .substring_dedup import substring_dedup
+from .url_trust import judged
+
+#: The rules of the URL query, (verdict, host and path).
+URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +34,26 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), modulus=7, held=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op9_substring_dedup, op10_lm_scoring)}
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules first, then trust and distrust over host links, for all pages."""
+    return judged(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
+
+
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against all benchmark items: matches of similarity 0.75 on 5-word shingles."""
+    return benchmark_matches(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), Fraction(3, 4), 5)
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fitted on labels of remainders other than 0 modulo 5; all documents scored."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = compression_classifier.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), modulus=5, held=0)
+    return compression_classifier.scored(docs, model, modulus=5, held=0).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_ngram_jaccard_join, op2_url_filters, op7_benchmark_decontamination, op8_quality_classifier, op9_substring_dedup, op10_lm_scoring)
+}
 
 ORACLES: dict[str, str] = {}
