@@ -308,3 +308,10 @@ def ngram_join(docs: DataFrame, threshold: Fraction = Fraction(3, 4), size: int
     return each.join(merged, ["n", "d1", "d2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")
     )
+
+
+def one_of_each_group(docs: DataFrame, threshold: Fraction = Fraction(3, 4), size: int = 5) -> DataFrame:
+    """The rows of docs, all columns, whose id is the smallest of its component; null ids stay."""
+    docs = one_row_per_id(docs)
+    gone = ngram_join(docs, threshold, size).filter("doc_id <> component_id").select("doc_id")
+    return docs.join(written(gone, "copies").hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)

@@ -7,8 +7,10 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_classifier
+from . import compression_classifier, license_scan, outliers
 from .decontamination import benchmark_matches
+from .feistel import sharded
+from .mixing import mixed
 from .ngram_join import ngram_join
 from .pitman_yor import language_model_scores
 from .substring_dedup import substring_dedup
@@ -39,6 +41,29 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards; law `rows`."""
+    placed = sharded(spark.read.parquet(f"{sf_dir}/documents.parquet"), shards=16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and robust outliers per language and source over all documents."""
+    found = outliers.judged(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in all documents."""
+    return license_scan.scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to weights 1, 2, 3, with at most three copies each."""
+    found = mixed(spark.read.parquet(f"{sf_dir}/documents.parquet"), (1, 2, 3), 3)
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items: matches of similarity 0.75 on 5-word shingles."""
     return benchmark_matches(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), Fraction(3, 4), 5)
@@ -53,7 +78,7 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_ngram_jaccard_join, op2_url_filters, op7_benchmark_decontamination, op8_quality_classifier, op9_substring_dedup, op10_lm_scoring)
+    for f in (op1_ngram_jaccard_join, op2_url_filters, op3_sharding, op4_quality_rules, op5_license_scans, op6_source_mixing, op7_benchmark_decontamination, op8_quality_classifier, op9_substring_dedup, op10_lm_scoring)
 }
 
 ORACLES: dict[str, str] = {}

@@ -84,14 +84,14 @@ def dealt(df: DataFrame, column: str, parts: int) -> DataFrame:
 
 
 def one_row_per_id(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text) with a row for each id: of rows that share one, the first by text, nulls first.
+    """docs with a row for each doc_id: of rows that share one, the first by text (nulls first), then the rest.
 
-    Rows with a null id stay as they are.  Ids are counted first, from their column alone; texts are
+    Rows with a null id stay as they are.  Ids are counted first, from their column alone; rows are
     only regrouped for ids that do repeat.
     """
     twice = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
     if twice.isEmpty():
         return docs
-    rest = docs.join(twice, "doc_id", "left_anti")
-    first = docs.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text")).alias("t")).select("doc_id", "t.text")
-    return rest.select("doc_id", "text").union(first)
+    rest = ["text", *(c for c in docs.columns if c not in ("doc_id", "text"))]
+    first = docs.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row")).select("doc_id", "row.*")
+    return docs.join(twice, "doc_id", "left_anti").select("doc_id", *rest).union(first).select(*docs.columns)
