@@ -8,7 +8,7 @@ frequency, then hash; the most frequent n-grams of all (a list of bounded length
 2. A packed shuffle by n-gram finds exact document frequencies.  N-grams of one document alone cannot
    match and are only counted.  A packed shuffle by document returns the repeated ones, in order.
 3. Documents with equal sets form one class; only its smallest id goes on.
-4. Prefix n-grams are joined.  Length filter, positional filter (at the first common n-gram) and suffix
+4. Prefix n-grams are joined.  Length filter, positional filter and suffix
    filter (Hamming distance over hash blocks of the rest) prune pairs; each remaining pair is verified
    once by intersecting the full lists of repeated n-grams, which is exact since others are unshared.
    To avoid all pairs within a group of copies, each n-gram first links its documents to one leader;
@@ -252,17 +252,17 @@ def _links(cand: DataFrame, pairs: DataFrame, threshold: Fraction) -> DataFrame:
     return both.filter(den * F.col("same") >= num * (F.col("na") + F.col("nb") - F.col("same"))).select("a", "b")
 
 
-def _pruned(joined: DataFrame, threshold: Fraction) -> DataFrame:
-    """Length filter by row, then per pair the positional filter at the first common n-gram.
+def _possible(threshold: Fraction):
+    """Length and positional filter of one common prefix n-gram: sizes na, nb and positions pa, pb.
 
-    joined: (a, na, pa, b, nb, pb): ids, set sizes, positions of a common prefix n-gram.
+    Similarity >= t means an overlap of at least t / (1 + t) * (na + nb), and the overlap from a common
+    n-gram on is at most what is left of either set.  At a pair's first common n-gram this bounds its
+    whole overlap; later ones only pass if the first does, so the filter may drop them one by one.
     """
     num, den = threshold.numerator, threshold.denominator
     fits = den * F.least("na", "nb") >= num * F.greatest("na", "nb")
-    first = joined.filter(fits).groupBy("a", "b", "na", "nb").agg(F.min("pa").alias("pa"), F.min("pb").alias("pb"))
-    # similarity >= t means an overlap of at least t / (1 + t) * (na + nb)
     best = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    return first.filter((num + den) * best >= num * (F.col("na") + F.col("nb"))).select("a", "b")
+    return fits & ((num + den) * best >= num * (F.col("na") + F.col("nb")))
 
 
 def _linked(cand: DataFrame, threshold: Fraction) -> DataFrame:
@@ -273,8 +273,7 @@ def _linked(cand: DataFrame, threshold: Fraction) -> DataFrame:
     rank = F.struct((-F.col("pos")).alias("p"), F.col("n").alias("n"), (-F.col("doc_id")).alias("i"), F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
     led = prefix.groupBy("tok").agg(F.max(rank).alias("led"), F.count("*").alias("m")).filter("m > 1").select("tok", "led.b", "led.nb", "led.pb")
     star = prefix.select("tok", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa")).join(led, "tok").filter("a != b")
-    star = star.select("tok", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb"), F.when(F.col("a") < F.col("b"), F.col("pa")).otherwise(F.col("pb")).alias("pa"), F.when(F.col("a") < F.col("b"), F.col("pb")).otherwise(F.col("pa")).alias("pb"))
-    tried = written(_pruned(star, threshold), "tried")
+    tried = written(star.filter(_possible(threshold)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "tried")
     links = written(_links(cand, tried, threshold), "links")
     found = written(components(links), "found")
     # all that is left: pairs within an n-gram whose documents are not in one component yet
@@ -282,8 +281,8 @@ def _linked(cand: DataFrame, threshold: Fraction) -> DataFrame:
     mixed = owned.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("tok")
     owned = written(owned.join(mixed, "tok", "left_semi"), "owned")
     side = lambda c: owned.select("tok", F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"), F.col("pos").alias(f"p{c}"), F.col("comp").alias(f"c{c}"))
-    rest = side("a").join(side("b"), "tok").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
-    rest = _pruned(rest, threshold).join(tried, ["a", "b"], "left_anti")
+    rest = side("a").join(side("b"), "tok").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _possible(threshold))
+    rest = rest.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
     more = written(links.union(_links(cand, rest, threshold)), "links")
     out = written(components(more), "found")
     dropped(prefix, tried, links, found, owned, more)
