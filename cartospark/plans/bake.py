@@ -83,16 +83,41 @@ class Bake:
             out = out.join(count(df, name), "ext", "left")
         return out.na.fill(0)
 
+    @cached_property
+    def payloads(self) -> DataFrame:
+        """(ext, kind, id, node, way, relation): what is stored of each element, one of the three not null."""
+        tags = F.col("tags")
+        none = F.lit(None)
+        node = self.pois.select("ext", F.lit("node").alias("kind"), "id", F.struct("id", "lat_q", "lon_q", tags).alias("node"), none.alias("way"), none.alias("relation"))
+        way = self.geometry.withColumnRenamed("way_id", "id").join(self.kept_ways.select("ext", "id", "tags"), ["ext", "id"])
+        way = way.select("ext", F.lit("way").alias("kind"), "id", none.alias("node"), F.struct("id", "closed", tags, "points").alias("way"), none.alias("relation"))
+        relation = self.kept_relations.select("ext", F.lit("relation").alias("kind"), "id", none.alias("node"), none.alias("way"), F.struct("id", tags, "members").alias("relation"))
+        return node.union(way).union(relation)
+
+    def chunks(self) -> DataFrame:
+        """(ext, x, y, kind, id, node, way, relation): the clipped elements of each region with their payloads."""
+        return self.elements.join(self.payloads, ["ext", "kind", "id"])
+
+    def records(self) -> DataFrame:
+        """(ext, relation_id, relation, way): whole relations over several tiles, a row for each member way."""
+        each = self.whole_relations.select("ext", "relation_id", F.explode("ways").alias("id"))
+        ways = self.payloads.filter("kind = 'way'").select("ext", "id", "way")
+        relations = self.payloads.filter("kind = 'relation'").select("ext", F.col("id").alias("relation_id"), "relation")
+        return each.join(ways, ["ext", "id"]).join(relations, ["ext", "relation_id"]).select("ext", "relation_id", "relation", "way")
+
     def tiles(self) -> DataFrame:
         """(continent, x, y, nodes, ways, relations): merged tiles with elements in order of id.
 
         Payload columns join once, after the dedup has chosen a region for each element.
         """
-        tags = F.col("tags")
-        node = self.pois.select("ext", F.lit("node").alias("kind"), "id", F.struct("id", "lat_q", "lon_q", tags).alias("node"), F.lit(None).alias("way"), F.lit(None).alias("relation"))
-        way = self.geometry.withColumnRenamed("way_id", "id").join(self.kept_ways.select("ext", "id", "tags"), ["ext", "id"])
-        way = way.select("ext", F.lit("way").alias("kind"), "id", F.lit(None).alias("node"), F.struct("id", "closed", tags, "points").alias("way"), F.lit(None).alias("relation"))
-        relation = self.kept_relations.select("ext", F.lit("relation").alias("kind"), "id", F.lit(None).alias("node"), F.lit(None).alias("way"), F.struct("id", tags, "members").alias("relation"))
-        rows = self.merged.join(node.union(way).union(relation), ["ext", "kind", "id"])
-        ordered = lambda c: F.array_sort(F.collect_list(c), lambda a, b: F.when(a["id"] < b["id"], -1).when(a["id"] > b["id"], 1).otherwise(0))
-        return rows.groupBy("continent", "x", "y").agg(ordered("node").alias("nodes"), ordered("way").alias("ways"), ordered("relation").alias("relations"))
+        return assembled(self.merged.join(self.payloads, ["ext", "kind", "id"]), ["continent", "x", "y"])
+
+
+def by_id(column: str):
+    """The elements of a group in order of id; nulls are left out."""
+    order = lambda a, b: F.when(a["id"] < b["id"], -1).when(a["id"] > b["id"], 1).otherwise(0)
+    return F.array_sort(F.collect_list(column), order)
+
+
+def assembled(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.groupBy(*keys).agg(by_id("node").alias("nodes"), by_id("way").alias("ways"), by_id("relation").alias("relations"))

@@ -10,6 +10,8 @@ from __future__ import annotations
 import gzip
 import hashlib
 import json
+import os
+import shutil
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -86,26 +88,31 @@ def entries(read, info: dict[str, int]) -> Iterator[tuple[int, int, int, int]]:
     return walk(info["root"], info["root_size"], 0)
 
 
-def build(tiles: Iterator[tuple[int, bytes]], metadata: dict | None = None, zoom: int = S.ZOOM) -> bytes:
-    """An archive of (id, bytes) in increasing order of id; equal contents are stored once, runs joined."""
-    data, places, found = bytearray(), {}, []
-    n = 0
-    for ident, content in tiles:
-        n += 1
-        digest = hashlib.sha256(content).digest()
-        if digest not in places:
-            places[digest] = (len(content), len(data))
-            data += content
-        length, offset = places[digest]
-        if found and found[-1][0] + found[-1][1] > ident:
-            raise ValueError("tile ids must increase")
-        if found and found[-1][2:] == (length, offset) and found[-1][0] + found[-1][1] == ident:
-            found[-1] = (found[-1][0], found[-1][1] + 1, length, offset)
-        else:
-            found.append((ident, 1, length, offset))
-    root, leaves = gzip.compress(write_directory(found), mtime=0), b""
+def write(path: str, tiles: Iterator[tuple[int, bytes]], metadata: dict | None = None, zoom: int = S.ZOOM) -> int:
+    """Write an archive of (id, bytes) in increasing order of id and return its size.
+
+    Contents go straight to disk, equal ones once, and runs of equal ones are one entry: memory holds the directory only.
+    """
+    places: dict[bytes, tuple[int, int]] = {}
+    found: list[tuple[int, int, int, int]] = []
+    n = size = 0
+    with open(f"{path}.data", "wb") as data:
+        for ident, content in tiles:
+            n += 1
+            digest = hashlib.sha256(content).digest()
+            if digest not in places:
+                places[digest] = (len(content), size)
+                size += data.write(content)
+            length, offset = places[digest]
+            if found and found[-1][0] + found[-1][1] > ident:
+                raise ValueError("tile ids must increase")
+            if found and found[-1][2:] == (length, offset) and found[-1][0] + found[-1][1] == ident:
+                found[-1] = (found[-1][0], found[-1][1] + 1, length, offset)
+            else:
+                found.append((ident, 1, length, offset))
+    root, leaves = gzip.compress(write_directory(found), mtime=0), bytearray()
     if len(root) > ROOT_ENTRIES:
-        step, parts, leaves = max(4096, len(found) // 1024), [], bytearray()
+        step, parts = max(4096, len(found) // 1024), []
         for k in range(0, len(found), step):
             leaf = gzip.compress(write_directory(found[k : k + step]), mtime=0)
             parts.append((found[k][0], 0, len(leaf), len(leaves)))
@@ -113,12 +120,18 @@ def build(tiles: Iterator[tuple[int, bytes]], metadata: dict | None = None, zoom
         root = gzip.compress(write_directory(parts), mtime=0)
     meta = gzip.compress(json.dumps(metadata or {}).encode(), mtime=0)
     at = [HEADER]
-    for size in (len(root), len(meta), len(leaves)):
-        at.append(at[-1] + size)
-    head = b"PMTiles\x03" + b"".join(x.to_bytes(8, "little") for x in (at[0], len(root), at[1], len(meta), at[2], len(leaves), at[3], len(data), n, len(found), len(places)))
+    for part in (root, meta, leaves):
+        at.append(at[-1] + len(part))
+    numbers = (at[0], len(root), at[1], len(meta), at[2], len(leaves), at[3], size, n, len(found), len(places))
+    head = b"PMTiles\x03" + b"".join(x.to_bytes(8, "little") for x in numbers)
     # clustered, gzip directories, unknown tile compression and type, both zooms, extent unset
-    head += bytes([1, 2, 0, 0, zoom, zoom]) + bytes(HEADER - len(head) - 6)
-    return head + root + meta + bytes(leaves) + bytes(data)
+    head += bytes([1, 2, 0, 0, zoom, zoom])
+    with open(path, "wb") as f, open(f"{path}.data", "rb") as data:
+        f.write(head + bytes(HEADER - len(head)) + root + meta + bytes(leaves))
+        shutil.copyfileobj(data, f)
+        total = f.tell()
+    os.remove(f"{path}.data")
+    return total
 
 
 class _File(InputPartition):
