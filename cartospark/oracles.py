@@ -353,4 +353,17 @@ ORACLES = {
     ),
     "src_geojson_rings": sql("SELECT ext, ring, CAST(pos AS INT) AS pos, lon, lat FROM fx_ring"),
     "src_poly_rings": sql("SELECT ext, CAST(row_number() OVER (PARTITION BY ext ORDER BY ring) - 1 AS INT) AS ring, points, lon, lat FROM (SELECT ext, ring, count(*) AS points, sum(lon) AS lon, sum(lat) AS lat FROM fx_ring GROUP BY ext, ring) x"),
+    "src_shapefile": sql(
+        "SELECT CAST(dense_rank() OVER (ORDER BY ext) - 1 AS INT) AS rec, CAST(dense_rank() OVER (PARTITION BY ext ORDER BY ring) - 1 AS INT) AS ring, CAST(pos AS INT) AS pos, lon, lat FROM fx_ring"
+    ),
+    "src_osm_elements": sql(
+        """SELECT 'node' AS kind, id, CAST(len(tags) AS INT) AS tags, 0 AS refs, 0 AS members, CAST(round(round(lat * 1e7) / 1e7 * 1e7) AS INT) AS lat_q FROM fx_node
+        UNION ALL SELECT 'way', id, CAST(len(tags) AS INT), CAST(n AS INT), 0, NULL FROM fx_way JOIN (SELECT way_id AS id, count(*) AS n FROM fx_ref GROUP BY way_id) r USING (id)
+        UNION ALL SELECT 'relation', id, CAST(len(tags) AS INT), 0, CAST(n AS INT), NULL FROM fx_relation JOIN (SELECT relation_id AS id, count(*) AS n FROM fx_member GROUP BY relation_id) m USING (id)"""
+    ),
+    "pmtiles_directory": _with(
+        "SELECT d + 22369621 AS tile_id, length(CAST((y // 128) * 64 + x // 128 AS VARCHAR)) AS length FROM hil WHERE s = 0",
+        f"spot AS (SELECT DISTINCT {tile_x('lon')} AS x, {tile_y('lat')} AS y FROM fx_point)",
+        _hilbert,
+    ),
 }

@@ -405,3 +405,54 @@ def src_poly_rings(v):
     each = ring.groupBy("ext").agg(F.concat(F.lit("name\n"), F.array_join(F.array_sort(F.collect_list(F.struct("ring", text.alias("t"))))["t"], ""), F.lit("END\n")).alias("value"))
     found = outlines.poly_rings(each, "ext")
     return found.groupBy("ext", "ring").agg(F.count("*").alias("points"), F.sum("lon").alias("lon"), F.sum("lat").alias("lat"))
+
+
+@query
+def src_shapefile(v):
+    """Rings of a shapefile made of all shapes."""
+    rings: dict[int, dict[int, list]] = {}
+    for r in v("fx_ring").orderBy("ext", "ring", "pos").collect():  # the rings of some thirty shapes
+        rings.setdefault(r["ext"], {}).setdefault(r["ring"], []).append((r["lon"], r["lat"]))
+    raw = outlines.shapefile_bytes([list(rings[e].values()) for e in sorted(rings)])
+    files = v("region").sparkSession.createDataFrame([("shapes.shp", bytearray(raw))], "path string, content binary")
+    return outlines.shapefile_rings(files).select("rec", "ring", "pos", "lon", "lat")
+
+
+@query
+def src_osm_elements(v):
+    """All elements of an extract made of the nodes, ways and relations."""
+    import io
+
+    from .sources import osm_pbf
+
+    pairs = lambda tags: [(t["k"], t["v"]) for t in tags]
+    f = io.BytesIO()
+    refs = v("fx_ref").groupBy(F.col("way_id").alias("id")).agg(F.array_sort(F.collect_list(F.struct("pos", "node_id")))["node_id"].alias("refs"))
+    members = v("fx_member").groupBy(F.col("relation_id").alias("id")).agg(F.array_sort(F.collect_list(F.struct("pos", "way_id", "role"))).alias("members"))
+    osm_pbf.write(
+        f,
+        [(r["id"], r["lat"], r["lon"], pairs(r["tags"])) for r in v("fx_node").orderBy("id").collect()],
+        [(r["id"], r["refs"], pairs(r["tags"])) for r in v("fx_way").join(refs, "id").orderBy("id").collect()],
+        [(r["id"], [("way", m["way_id"], m["role"]) for m in r["members"]], pairs(r["tags"])) for r in v("fx_relation").join(members, "id").orderBy("id").collect()],
+    )
+    files = v("region").sparkSession.createDataFrame([("all.osm.pbf", bytearray(f.getvalue()))], "path string, content binary")
+    found = osm_pbf.elements_of(files)
+    return found.select("kind", "id", F.size("tags").alias("tags"), F.coalesce(F.size("refs"), F.lit(0)).alias("refs"), F.coalesce(F.size("members"), F.lit(0)).alias("members"), M.quantised("lat").alias("lat_q"))
+
+
+@query
+def pmtiles_directory(v):
+    """Directory entries of an archive of all points' tiles, whose content is their coverage cell."""
+    import os
+    import tempfile
+
+    from .sources import pmtiles
+
+    tiles = v("fx_point").select(M.tile_x("lon").alias("x"), M.tile_y("lat").alias("y")).distinct()
+    rows = tiles.select(M.hilbert_id("x", "y").alias("id"), M.cell("x", "y").cast("string").alias("c")).orderBy("id").collect()
+    with tempfile.TemporaryDirectory() as folder:
+        pmtiles.write(f"{folder}/a", ((r["id"], r["c"].encode()) for r in rows))
+        with open(os.path.join(folder, "a"), "rb") as f:
+            raw = f.read()
+    files = v("region").sparkSession.createDataFrame([("a.pmtiles", bytearray(raw))], "path string, content binary")
+    return pmtiles.directory_of(files).select(F.explode(F.sequence(F.col("tile_id"), F.col("tile_id") + F.col("run") - 1)).alias("tile_id"), "length")

@@ -178,3 +178,102 @@ def read_box(path: str) -> tuple[float, float, float, float] | None:
     except (OSError, KeyError, ValueError, zlib.error):
         return None
     return None
+
+
+def elements_of(files):
+    """Rows of SCHEMA, with path, of extracts read by format("binaryFile"), from any store Spark reads.
+
+    For files that fit a row; larger ones go through the data source, which reads them by blobs.
+    """
+    import io
+
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    schema = "path string, " + SCHEMA
+
+    def run(batches):
+        arrow = to_arrow_schema(parsed)
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                f = io.BytesIO(content)
+                for kind, offset, size in blob_heads(f):
+                    if kind != "OSMData":
+                        continue
+                    columns = [[] for _ in arrow]
+                    for row in elements(inflate(content[offset : offset + size])):
+                        kind_, ident, lat, lon, tags, refs, members = row
+                        tagged = [{"k": k, "v": v} for k, v in tags]
+                        listed = None if members is None else [{"type": t, "ref": r, "role": o} for t, r, o in members]
+                        for column, value in zip(columns, (path, kind_, ident, lat, lon, tagged, refs, listed), strict=True):
+                            column.append(value)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+
+    parsed = _parse_datatype_string(schema)
+    return files.select("path", "content").mapInArrow(run, schema)
+
+
+def write(path_or_file, nodes=(), ways=(), relations=(), box=None, dense: bool = True, block: int = 8000) -> None:
+    """Write a small extract: nodes (id, lat, lon, tags), ways (id, refs, tags), relations (id, members, tags); tags are pairs.
+
+    For fixtures and tests; coordinates are kept to 1e-7 degrees.
+    """
+    from ..functions.codec import Writer
+
+    def message(*parts: tuple[int, int | bytes]) -> bytes:
+        out = Writer()
+        for number, value in parts:
+            out.unsigned(number << 3 | (0 if isinstance(value, int) else 2))
+            if isinstance(value, int):
+                out.unsigned(value)
+            else:
+                out.unsigned(len(value))
+                out.body += value
+        return bytes(out.body)
+
+    def numbers(values, signed=False) -> bytes:
+        out = Writer()
+        for v in values:
+            (out.signed if signed else out.unsigned)(v)
+        return bytes(out.body)
+
+    def steps(values) -> bytes:
+        values = list(values)
+        return numbers((b - a for a, b in zip([0, *values], values, strict=False)), True)
+
+    twice = lambda n: 2 * n if n >= 0 else -2 * n - 1
+    unit = lambda d: round(d * 1e7)
+
+    def blob(f, kind: str, raw: bytes) -> None:
+        body = message((2, len(raw)), (3, zlib.compress(raw)))
+        head = message((1, kind.encode()), (3, len(body)))
+        f.write(len(head).to_bytes(4, "big") + head + body)
+
+    def blocks(f) -> None:
+        blob(f, "OSMHeader", message(*([(1, message(*((k, twice(round(v * 1e9))) for k, v in zip((1, 4, 2, 3), box, strict=True))))] if box else [])))
+        for kind, rows in (("node", list(nodes)), ("way", list(ways)), ("relation", list(relations))):
+            for k in range(0, len(rows), block):
+                strings: dict[str, int] = {"": 0}
+                at = lambda s, strings=strings: strings.setdefault(s, len(strings))
+                some, parts = rows[k : k + block], []
+                if kind == "node" and dense:
+                    mixed = [x for r in some for x in [*(at(s) for t in r[3] for s in t), 0]]
+                    parts.append((2, message((1, steps(r[0] for r in some)), (8, steps(unit(r[1]) for r in some)), (9, steps(unit(r[2]) for r in some)), (10, numbers(mixed)))))
+                for r in some if kind != "node" or not dense else ():
+                    tags = [(2, numbers(at(a) for a, _ in r[-1])), (3, numbers(at(b) for _, b in r[-1]))]
+                    if kind == "node":
+                        parts.append((1, message((1, twice(r[0])), *tags, (8, twice(unit(r[1]))), (9, twice(unit(r[2]))))))
+                    elif kind == "way":
+                        parts.append((3, message((1, r[0]), *tags, (8, steps(r[1])))))
+                    else:
+                        order = ["node", "way", "relation"]
+                        parts.append((4, message((1, r[0]), *tags, (8, numbers(at(m[2]) for m in r[1])), (9, steps(m[1] for m in r[1])), (10, numbers(order.index(m[0]) for m in r[1])))))
+                group = message(*parts)
+                blob(f, "OSMData", message((1, message(*((1, s.encode()) for s in strings))), (2, group)))
+
+    if hasattr(path_or_file, "write"):
+        blocks(path_or_file)
+    else:
+        with open(path_or_file, "wb") as f:
+            blocks(f)

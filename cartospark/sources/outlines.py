@@ -105,3 +105,15 @@ def shapefile_rings(files: DataFrame) -> DataFrame:
 def local_name(url):
     """The flat file name of a url: what follows "://", with separators replaced."""
     return F.regexp_replace(F.regexp_replace(url, r"(?s)^.*?://", ""), r"[/\\:]", "_")
+
+
+def shapefile_bytes(records: list[list[list[tuple[float, float]]]]) -> bytes:
+    """A polygon shapefile of records of rings, for fixtures and tests."""
+    body = b""
+    for k, rings in enumerate(records):
+        starts = np.cumsum([0, *(len(r) for r in rings)])
+        points = [p for r in rings for p in r]
+        content = struct.pack("<i4dii", 5, 0, 0, 0, 0, len(rings), len(points)) + struct.pack(f"<{len(rings)}i", *starts[:-1].tolist())
+        content += b"".join(struct.pack("<2d", *p) for p in points)
+        body += struct.pack(">ii", k + 1, len(content) // 2) + content
+    return struct.pack(">i20xi", 9994, (100 + len(body)) // 2) + struct.pack("<ii8d", 1000, 5, *[0.0] * 8) + body
