@@ -12,6 +12,7 @@ from .decontamination import benchmark_matches
 from .feistel import sharded
 from .mixing import mixed
 from .ngram_join import ngram_join
+from .oracles import ORACLES  # noqa: F401  read by the entry point
 from .pitman_yor import language_model_scores
 from .substring_dedup import substring_dedup
 from .url_trust import judged
@@ -80,5 +81,3 @@ QUERIES = {
     f.__name__: f
     for f in (op1_ngram_jaccard_join, op2_url_filters, op3_sharding, op4_quality_rules, op5_license_scans, op6_source_mixing, op7_benchmark_decontamination, op8_quality_classifier, op9_substring_dedup, op10_lm_scoring)
 }
-
-ORACLES: dict[str, str] = {}
