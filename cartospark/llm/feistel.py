@@ -10,7 +10,8 @@ Walks end: a cycle has no more positions beyond N than there are, a * b - N < a,
 steps always ends.  Steps beyond WALK are only ever needed with a probability of b ** -WALK.
 
 Defined cases: a null text has no bytes and the checksum of none, 0; null ids come last; rows equal in all
-three are interchangeable; an empty table stays empty; other columns are ignored.
+three are interchangeable; an empty table stays empty; other columns are ignored, and so are columns to keep that are
+named like the results.
 """
 
 from __future__ import annotations
@@ -56,7 +57,8 @@ def permuted(row: Column, total: int, seed: int) -> Column:
 def sharded(docs: DataFrame, shards: int = 16, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """(doc_id, size, text_crc32, position, shard, slot) of every row, and the columns to keep."""
     raw = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    keep = [c for c in keep or [] if c != id_col]
+    made = {"doc_id", "size", "text_crc32", "position", "shard", "slot", "_size", "_crc", "_row", "_part", "_at", "_before", "_n"}
+    keep = [c for c in keep or [] if c != id_col and c not in made]
     each = docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(raw).cast("long") + 1).alias("_size"), F.crc32(raw).alias("_crc"), *keep)
     rows = numbered(each, [F.col(c).asc_nulls_last() for c in ("doc_id", "_crc", "_size")], "_row")
     position = permuted(F.col("_row"), docs.count(), seed)

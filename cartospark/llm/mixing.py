@@ -75,7 +75,11 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), repea
     """
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     chosen = mixed(docs, weights, repeat, seed).filter("copies > 0")
-    chosen = chosen.groupBy("doc_id", "source", "size").agg(F.max("copies").alias("_copies")).withColumnsRenamed({"doc_id": "_id", "source": "_source", "size": "_size"})
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (size == F.col("_size"))
-    joined = docs.join(chosen.hint("shuffle_hash"), same)
-    return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
+    chosen = chosen.groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies"))
+    mark = "_mix"
+    while any(c.startswith(mark) for c in docs.columns):  # no name of theirs
+        mark += "_"
+    chosen = chosen.toDF(*(f"{mark}{k}" for k in range(4)))
+    match = F.col("doc_id").eqNullSafe(F.col(f"{mark}0")) & F.col("source").eqNullSafe(F.col(f"{mark}1")) & (size == F.col(f"{mark}2"))
+    joined = docs.join(chosen.hint("shuffle_hash"), match)
+    return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(f"{mark}3"))).alias(mark)).drop(mark)
