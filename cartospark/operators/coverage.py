@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -38,7 +38,7 @@ def point_in_polygon(points: DataFrame, rings: DataFrame, key: str = "ext") -> D
     return near.select(key, "id", "lon", "lat").join(outline, key).filter(count % 2 == 1).select(key, "id")
 
 
-def sample_grid(points: DataFrame | None = None, *, spark=None, step: float = S.GRID_STEP) -> DataFrame:
+def sample_grid(spark: SparkSession, step: float = S.GRID_STEP) -> DataFrame:
     """The global grid: longitudes from -180, latitudes from -85 to 85, every step."""
     lat = spark.range(int(170 / step) + 1).select((F.col("id") * step - 85.0).alias("lat"))
     return lat.select("lat", F.explode(F.sequence(F.lit(0), F.lit(int(360 / step) - 1))).alias("i")).select((F.col("i") * step - 180.0).alias("lon"), "lat")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import tags as T
 from ..functions import tilemath as M
+from ..schemas import TILES
 
 
 def kept_nodes(nodes: DataFrame) -> DataFrame:
@@ -76,7 +77,7 @@ def way_tiles(geometry: DataFrame) -> DataFrame:
     tile is added for the walks that a rounded corner stops short of it.
     """
     each = segments(geometry)
-    clamp = lambda c: F.least(F.greatest(F.floor(c), F.lit(0)), F.lit(M.CELLS * 128 - 1)).cast("int")
+    clamp = lambda c: F.least(F.greatest(F.floor(c), F.lit(0)), F.lit(TILES - 1)).cast("int")
     end = F.array(F.struct(clamp(F.col("x1")).alias("x"), clamp(F.col("y1")).alias("y")))
     touched = F.array_union(M.segment_tiles(*(F.col(c) for c in ("x0", "y0", "x1", "y1"))), end)
     return each.select("ext", "way_id", F.explode(touched).alias("t")).select("ext", "way_id", "t.x", "t.y").distinct()
@@ -93,9 +94,7 @@ def clipped(tiles: DataFrame, clips: DataFrame | None) -> DataFrame:
 
     clips: (ext, w, s, e, n) in degrees, a few rows per region.
     """
-    if clips is None:
-        return tiles
-    return tiles.filter("kept") if "kept" in tiles.columns else flag_clipped(tiles, clips).filter("kept").drop("kept")
+    return tiles if clips is None else flag_clipped(tiles, clips).filter("kept").drop("kept")
 
 
 def flag_clipped(tiles: DataFrame, clips: DataFrame) -> DataFrame:

@@ -207,7 +207,7 @@ def url_local_name(v):
 
 @query
 def continent_rollup(v):
-    """Roots of a forest in which every part belongs to a tenth of itself."""
+    """Roots of a forest in which the parent of every part is a fifth of its key."""
     nodes = v("part").select(F.col("p_partkey").alias("id"), F.when(F.col("p_partkey") >= 5, F.floor(F.col("p_partkey") / 5)).alias("parent"))
     return C.roll_up(nodes)
 
@@ -246,7 +246,7 @@ def cover_candidates(v):
 
 @query
 def sample_grid(v):
-    return C.sample_grid(spark=v("region").sparkSession)
+    return C.sample_grid(v("region").sparkSession)
 
 
 @query

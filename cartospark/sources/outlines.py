@@ -6,7 +6,7 @@ import struct
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _POSITION = "array<double>"
@@ -41,7 +41,7 @@ def poly_rings(texts: DataFrame, key: str = "path", column: str = "value") -> Da
     before a line; holes are rings like others, unreadable lines are skipped, rings below 3 points dropped.
     """
     lines = F.transform(F.split(column, "\r?\n"), lambda line: F.trim(F.regexp_replace(line, r"\s+", " ")))
-    body = F.filter(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), lambda line: F.lit(True))
+    body = F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))
     # fold: (section number, inside?, rows) over the lines
     start = F.struct(F.lit(0).alias("ring"), F.lit(False).alias("open"), F.array().cast("array<struct<ring: int, lon: double, lat: double>>").alias("rows"))
 
@@ -58,8 +58,6 @@ def poly_rings(texts: DataFrame, key: str = "path", column: str = "value") -> Da
         )
 
     rows = texts.select(key, F.posexplode(F.aggregate(body, start, step, lambda s: s["rows"])).alias("at", "r")).select(key, "at", "r.ring", "r.lon", "r.lat")
-    from pyspark.sql import Window
-
     ring = Window.partitionBy(key, "ring")
     numbered = rows.withColumns({"pos": F.row_number().over(ring.orderBy("at")) - 1, "n": F.count("*").over(ring)})
     return numbered.filter("n >= 3").select(key, "ring", "pos", "lon", "lat")
