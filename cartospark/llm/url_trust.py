@@ -7,7 +7,8 @@ a blocked host is suspect).  A host is blocked if distrust makes up more than ``
 A host that neither reaches is allowed.
 
 Edges are distinct (from host, to host) with the number of links; links within a host are none.  Every
-step joins edges with scores and sums by host (partial sums first), and writes the small score table.
+step joins edges with scores and sums by host (partial sums first); some steps on, the small score table
+is written.
 
 Defined cases: a null url, or one without "://", has an empty host and path, which no rule fits; a null or
 empty html has no links; repeated rows are judged each; an empty table gives an empty result.
@@ -22,6 +23,8 @@ from .shared import dropped, written
 
 #: Rules are a literal list in the plan; beyond this, split the list by host first.
 MOST_RULES = 1000
+#: Steps of the propagation that run as one plan.
+CHECK = 5
 
 
 def _ascii_lower(c: Column) -> Column:
@@ -59,27 +62,30 @@ def host_edges(pages: DataFrame) -> DataFrame:
 def propagated(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, steps: int = 20, tolerance: float = 1e-9) -> DataFrame:
     """(kind, host, score) for edges (kind, src, dst, n) and seeds (kind, host, weight).
 
-    For each kind, a PageRank whose jumps, and whose mass at hosts without edges, go back to the seeds.
+    For each kind, a PageRank whose jumps, and whose mass at hosts without edges, go back to the seeds: its scores
+    are the visits ``seed + damping * moved(visits)`` divided by their sum, so a step is one join and one sum.
+    Every CHECK steps visits are written, and compared with those written before.
     """
     total = seeds.groupBy("kind").agg(F.sum("weight").alias("all"))
-    seeds = written(seeds.join(total, "kind").select("kind", "host", (F.col("weight") / F.col("all")).alias("seed")), "seeds")
+    seeds = written(seeds.join(total, "kind").select("kind", "host", (F.col("weight") / F.col("all")).alias("visits")), "seeds")
     out = edges.groupBy("kind", "src").agg(F.sum("n").alias("all"))
     edges = written(edges.join(out, ["kind", "src"]).select("kind", F.col("src").alias("host"), "dst", (F.col("n") / F.col("all")).alias("share")), "edges")
-    now = seeds.withColumnRenamed("seed", "score")
-    if edges.isEmpty():
-        return now
-    for _ in range(steps):
-        moved = edges.join(now, ["kind", "host"]).groupBy("kind", F.col("dst").alias("host")).agg(F.sum(F.col("score") * F.col("share") * damping).alias("score"))
-        kept = moved.groupBy("kind").agg(F.sum("score").alias("kept"))
-        back = seeds.join(kept, "kind", "left").select("kind", "host", (F.col("seed") * (1 - F.coalesce("kept", F.lit(0.0)))).alias("score"))
-        new = written(moved.union(back).groupBy("kind", "host").agg(F.sum("score").alias("score")), "scores")
-        change = new.withColumnRenamed("score", "b").join(now, ["kind", "host"], "left").agg(F.sum(F.abs(F.col("b") - F.coalesce("score", F.lit(0.0))))).first()[0]
-        if now is not seeds:
-            dropped(now)
-        now = new
+    now = last = seeds
+    steps = 0 if edges.isEmpty() else steps
+    for step in range(1, steps + 1):
+        moved = edges.join(now, ["kind", "host"]).select("kind", F.col("dst").alias("host"), (F.col("visits") * F.col("share") * damping).alias("visits"))
+        now = seeds.union(moved).groupBy("kind", "host").agg(F.sum("visits").alias("visits"))
+        if step % CHECK and step < steps:
+            continue
+        now = written(now, "scores")
+        change = now.withColumnRenamed("visits", "b").join(last, ["kind", "host"], "left").agg(F.sum(F.abs(F.col("b") - F.coalesce("visits", F.lit(0.0))))).first()[0]
+        if last is not seeds:
+            dropped(last)
+        last = now
         if (change or 0) < tolerance:
             break
-    return now
+    visits = now.groupBy("kind").agg(F.sum("visits").alias("all"))
+    return now.join(visits, "kind").select("kind", "host", (F.col("visits") / F.col("all")).alias("score"))
 
 
 def judged(pages: DataFrame, rules: list[tuple[str, str]], threshold: float = 0.5) -> DataFrame:
