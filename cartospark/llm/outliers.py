@@ -4,7 +4,9 @@ Method: statistics of each whole text become a vector (log length, log mean word
 the shares of symbols, repeated lines and repeated words).  For each language and source the minimum
 covariance determinant estimate is found by concentration steps: from medians, the h = 75 % of the rows
 nearest to the present estimate give the next mean and covariance.  Rows are rejected by Mahalanobis
-distance from the final estimate, given their length: length alone never rejects.
+distance from the final estimate, given their length: length alone never rejects.  The cutoff is the 0.999
+quantile of the normal law's distances; shares of repeated words have heavier tails in short texts, so more
+than 1 in 1000 clean rows lie beyond it (README).
 
 A step is one pass over the written statistics: rows are counted and summed by (group, distance bin), 1/32
 of a doubling wide, and a running count over the bins of a group yields the sums of the nearest h.  So no
@@ -30,8 +32,8 @@ DIMENSIONS = 5
 FLOOR = (0.1, 0.08, 0.05, 0.1, 0.1)
 #: Rows nearest to the estimate that it is made of, and the chi-square value of 5 degrees there.
 SHARE, AT_SHARE = 0.75, 6.6257
-#: Squared distance beyond which a row is rejected; in tails heavier than the normal's, clean rows reach 50.
-CUTOFF = 60.0
+#: Squared distance beyond which a row is rejected: the chi-square value of 4 degrees, all but the length, at 0.999.
+CUTOFF = 18.4668
 MIN_GROUP = 60
 STEPS = 4
 #: Estimates are broadcast up to so many groups (200 bytes each), else joined with salt.

@@ -273,6 +273,20 @@ def test_outliers_are_rejected_and_clean_rows_kept(spark):
     assert sum(got[k] for k in range(200)) >= 199 and not any(got[1000 + k] for k in range(30))
 
 
+def test_moderate_outliers_are_rejected(spark):
+    """Menus, a symbol after two of three words: between the stated quantile and a distance of 60."""
+    assert pytest.approx(0.001, rel=1e-4) == math.exp(-outliers.CUTOFF / 2) * (1 + outliers.CUTOFF / 2)  # chi-square of 4 degrees
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randint(2, 9)))
+    text = lambda gap: "\n".join(gap.join(f"{word()} {word()}" if k % 2 else word() for k in range(8)) for _ in range(r.randint(6, 40)))
+    table = frame(spark, [(k, text(" ")) for k in range(400)] + [(1000 + k, text(" | ")) for k in range(20)])
+    got = {x["doc_id"]: x for x in outliers.judged(table).collect()}
+    menus = [got[1000 + k] for k in range(20)]
+    assert any(x["distance"] < 60 for x in menus), [x["distance"] for x in menus]
+    assert not any(x["kept"] for x in menus)
+    assert sum(got[k]["kept"] for k in range(400)) >= 396
+
+
 def test_license_scan(spark):
     rows = [
         (1, "x y z Licensed under the Apache License, Version 2.0. more"),
