@@ -306,6 +306,32 @@ def test_license_scan(spark):
         license_scan.scan(frame(spark, []), {"short": "a b"})
 
 
+def test_license_variants_and_texts(spark):
+    text = license_scan._text
+    comment = lambda t: "\n".join(f" * {line}" for line in t.splitlines())
+    apache = text("Apache-2.0", "Licensed under the Apache License", "limitations under the License.")
+    rows = [
+        (1, 'Licensed under the Apache License, Version 2.0 (the "License");'),
+        (2, comment(apache)),
+        (3, "released under the MIT License, see below"),
+        (4, "It is (Licensed under the MIT license)"),
+        (5, "licensed under CC BY-NC 4.0"),
+        (6, comment(text("MIT").replace("any\nperson", "any person"))),
+        (7, text("BSD-3-Clause")),
+        (8, text("MPL-2.0")),
+        (9, text("Apache-2.0")),
+        (10, "This work is licensed under the GNU General Public License version 3"),
+        (11, "plain words about the weather that go on for a while, as is usual in a text without any notice"),
+    ]
+    found = license_scan.scan(frame(spark, rows)).collect()
+    names = collections.defaultdict(set)
+    for x in found:
+        names[x["doc_id"]].add(x["template"])
+    assert names == {1: {"Apache-2.0"}, 2: {"Apache-2.0"}, 3: {"MIT"}, 4: {"MIT"}, 5: {"CC-BY-NC-4.0"}, 6: {"MIT"}, 7: {"BSD-3-Clause"}, 8: {"MPL-2.0"}, 9: {"Apache-2.0"}, 10: {"GPL-3.0"}}
+    # every word counts for first_word, the comment marks too
+    assert min(x["first_word"] for x in found if x["doc_id"] == 2) == 1
+
+
 def test_targets_fill_and_reshare():
     got = {s: t for s, _, t in mixing.targets([("b", 100), ("a", 10), (None, 50)], (1, 2, 3))}
     # a (weight 1), b (2), null (3) of 160: 26.7, 53.3, 80; nothing above three times but a at 30 -> none
