@@ -5,12 +5,13 @@ half a window as a whole.  Words are compared in lower case and without PUNCTUAT
 punctuation alone, such as comment marks before each line, is no word.  The word shingles of a window that
 occur in some template (others cannot count for containment) get a MinHash signature of BANDS rows, each a
 band of its own: a window and a template whose sets have similarity s share a band with probability
-1 - (1 - s) ** BANDS, above 0.9999 for s >= 0.25.  Bands are joined with those of the templates.  Each
+1 - (1 - s) ** BANDS, above 0.9999 for s >= 0.25.  Bands are joined with those of the templates.  Parts so small
+that a window can contain them at a lower similarity are found by their shingles themselves, exactly.  Each
 (window, template) found is verified: the share of the template's shingles that the window contains, exactly,
 must reach the threshold.
 
 Templates are parameters, a bounded list: name and text, or several texts; those longer than half a window are
-cut into parts of half a window, and parts are numbered on over the texts.
+cut into parts of half a window, the last of which overlaps backwards, and parts are numbered on over the texts.
 Those registered are one-line notices, standard headers, and the texts in ``licenses/``.
 
 Defined cases: null and empty texts match nothing; a template with fewer words than a shingle is refused with
@@ -20,6 +21,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 from pathlib import Path
 
@@ -31,6 +33,8 @@ from .shared import written
 
 WINDOW = 64
 BANDS = 32
+#: Similarity from which on the bands find a pair.
+BANDED = 0.25
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\u2018\u2019\u201c\u201d\u00ab\u00bb\u2013\u2014\u2026\u00a9\u00b7\u2022"
 
 
@@ -74,7 +78,8 @@ def _template_table(spark, templates: dict, size: int) -> DataFrame:
             word = _bare(text)
             if len(word) < size:
                 raise ValueError(f"template {name} has fewer than {size} words")
-            for at in range(0, max(1, len(word) - size + 1), half - size + 1):
+            last = max(0, len(word) - half)
+            for at in [*range(0, last, half - size + 1), last]:
                 parts.append((name, count, " ".join(word[at : at + half])))
                 count += 1
     table = spark.createDataFrame(parts, "template string, part int, text string")
@@ -104,9 +109,13 @@ def scan(docs: DataFrame, templates: dict | None = None, threshold: float = 0.75
     inside = F.filter("hits", lambda x: (x["i"] >= F.col("cell") * half) & (x["i"] <= F.col("cell") * half + WINDOW - size))
     windows = hits.withColumn("cell", F.explode(cells)).withColumn("inside", inside).filter(F.size("inside") > 0)
     windows = windows.withColumn("have", F.array_distinct(F.transform("inside", lambda x: x["h"])))
+    # the least similarity of a part that a full window contains to the threshold, by its size
+    least = lambda n: (c := math.ceil(threshold * n)) / (WINDOW - size + 1 + n - c)
+    exact = max((n for n in range(WINDOW) if least(n) < BANDED), default=0)
+    single = F.transform("have", lambda h: F.struct(F.lit(-1).alias("band"), h.alias("value")))
     signed = lambda c: F.transform(_signature(F.col(c)), lambda v, j: F.struct(j.alias("band"), v.alias("value")))
-    banded = windows.select("doc_id", "row", "cell", "inside", "have", F.explode(signed("have")).alias("key"))
-    keys = signed("known")
+    banded = windows.select("doc_id", "row", "cell", "inside", "have", F.explode(F.concat(single, signed("have"))).alias("key"))
+    keys = F.when(F.size("known") <= exact, F.transform("known", lambda h: F.struct(F.lit(-1).alias("band"), h.alias("value")))).otherwise(signed("known"))
     bands = table.select("template", "part", "known", F.explode(keys).alias("key"))
     pairs = banded.join(F.broadcast(bands), "key")
     share = F.size(F.array_intersect("have", "known")) / F.size("known")

@@ -332,6 +332,21 @@ def test_license_variants_and_texts(spark):
     assert min(x["first_word"] for x in found if x["doc_id"] == 2) == 1
 
 
+def test_small_parts_in_full_windows_are_found(spark):
+    """One-shingle templates within windows full of the shingles of another: too dissimilar for the bands."""
+    filler = [f"w{k}" for k in range(320)]
+    templates = {"long": " ".join(filler)} | {f"t{k}": f"a{k} b{k} c{k} d{k} e{k}" for k in range(9)}
+    rows = []
+    for k in range(9):
+        at = 32 + 32 * k
+        rows.append((k, " ".join(filler[:at]) + f" a{k} b{k} c{k} d{k} e{k} " + " ".join(filler[at:])))
+    got = {(x["doc_id"], x["template"]) for x in license_scan.scan(frame(spark, rows), templates).collect()}
+    assert {(k, f"t{k}") for k in range(9)} <= got
+    # no part of a split template is short
+    table = license_scan._template_table(spark, {"long": " ".join(filler[:62])}, 5).collect()
+    assert [len(x["known"]) for x in table] == [28, 28, 28]
+
+
 def test_targets_fill_and_reshare():
     got = {s: t for s, _, t in mixing.targets([("b", 100), ("a", 10), (None, 50)], (1, 2, 3))}
     # a (weight 1), b (2), null (3) of 160: 26.7, 53.3, 80; nothing above three times but a at 30 -> none
