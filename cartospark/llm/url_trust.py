@@ -8,7 +8,7 @@ A host that neither reaches is allowed.
 
 Edges are distinct (from host, to host) with the number of links; links within a host are none.  Every
 step joins edges with scores and sums by host (partial sums first); some steps on, the small score table
-is written.
+is written.  Steps go on until scores rest, about 130 of them, however long the paths are.
 
 Defined cases: a null url, or one without "://", has an empty host and path, which no rule fits; a null or
 empty html has no links; repeated rows are judged each; an empty table gives an empty result.
@@ -59,12 +59,13 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return each.filter("src <> '' AND src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def propagated(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, steps: int = 20, tolerance: float = 1e-9) -> DataFrame:
+def propagated(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, steps: int = 1000, tolerance: float = 1e-9) -> DataFrame:
     """(kind, host, score) for edges (kind, src, dst, n) and seeds (kind, host, weight).
 
     For each kind, a PageRank whose jumps, and whose mass at hosts without edges, go back to the seeds: its scores
     are the visits ``seed + damping * moved(visits)`` divided by their sum, so a step is one join and one sum.
-    Every CHECK steps visits are written, and compared with those written before.
+    Every CHECK steps visits are written, and compared with those written before, until they differ by less than the
+    tolerance in sum.  It is an error if that takes more than so many steps.
     """
     total = seeds.groupBy("kind").agg(F.sum("weight").alias("all"))
     seeds = written(seeds.join(total, "kind").select("kind", "host", (F.col("weight") / F.col("all")).alias("visits")), "seeds")
@@ -84,6 +85,9 @@ def propagated(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, steps:
         last = now
         if (change or 0) < tolerance:
             break
+    else:
+        if steps:
+            raise RuntimeError(f"scores still change by {change} after {steps} steps")
     visits = now.groupBy("kind").agg(F.sum("visits").alias("all"))
     return now.join(visits, "kind").select("kind", "host", (F.col("visits") / F.col("all")).alias("score"))
 

@@ -226,6 +226,19 @@ def test_propagation_is_pagerank(spark):
     assert {r["host"]: pytest.approx(r["score"], abs=1e-7) for r in got.collect()} == dict(zip(names, x.tolist(), strict=True))
 
 
+def test_distrust_reaches_along_a_long_chain(spark):
+    chain = [(k, f"http://h{k}.test/", f'<a href="http://h{k + 1}.test/">') for k in range(30)]
+    pages = spark.createDataFrame([*chain, (30, "http://h30.test/", "<a href='http://bad.test/'>"), (31, "http://bad.test/", ""), (32, "http://alone.test/", "")], "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in url_trust.judged(pages, [("block", "bad.test/")]).collect()}
+    assert got == {k: "block" for k in range(32)} | {32: "allow"}
+
+
+def test_propagation_fails_short_of_its_tolerance(spark):
+    edges = spark.createDataFrame([("t", "a", "b", 1), ("t", "b", "a", 1)], "kind string, src string, dst string, n long")
+    with pytest.raises(RuntimeError, match="still change"):
+        url_trust.propagated(edges, spark.createDataFrame([("t", "a", 1.0)], "kind string, host string, weight double"), steps=20)
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 5, 16, 17, 1000])
 def test_feistel_is_a_permutation(spark, n):
     from pyspark.sql import functions as F
