@@ -43,9 +43,8 @@ FLUSH = 1_500_000
 EXACT = 64
 #: The score of a token travels in units of 2**-12.
 SCORE_UNIT = 4096
-#: Contexts are dealt over all owners if they make up this share of the tokens of some documents read first.
+#: Contexts are dealt over all owners if they make up more than this share of all words.
 FREQUENT_SHARE = 0.0005
-FREQUENT_DOCS = 2000
 
 _SCHEMA = "part int, kind int, src long, blob binary"
 _NAMES = ["part", "kind", "src", "blob"]
@@ -181,15 +180,33 @@ def _split(words: np.ndarray, parts: int):
 
 
 def _frequent(docs: DataFrame) -> np.ndarray:
-    """Hashes of frequent words among some documents; they only steer how work is dealt out."""
-    table = docs.select("text").limit(FREQUENT_DOCS).toArrow()
-    found = [np.array([_START])]
-    for _, _, buf, offsets in K.text_slices(table["text"], 1 << 26):
-        word = K.words(buf, offsets, lower=True)[0]
-        if len(word):
-            h, n = np.unique(word, return_counts=True)
-            found.append(h[n > FREQUENT_SHARE * len(word)])
-    return np.unique(np.concatenate(found))
+    """Hashes of the words that make up more than FREQUENT_SHARE of all words; exact, whatever the order of rows."""
+
+    def over(candidates):
+        """Words with more than the share of a task's, or, of the candidates, exact counts; and all words as (0, n)."""
+
+        def run(batches):
+            h, n, size = np.zeros(0, K.U), np.zeros(0), 0
+            for batch in batches:
+                for _, _, buf, offsets in K.text_slices(batch.column(0)):
+                    word = K.words(buf, offsets, lower=True)[0]
+                    size += len(word)
+                    new, count = np.unique(word if candidates is None else word[np.isin(word, candidates)], return_counts=True)
+                    h, place = np.unique(np.concatenate((h, new)), return_inverse=True)
+                    n = np.bincount(place, weights=np.concatenate((n, count)), minlength=len(h))
+            if candidates is None:
+                h, n = h[n > FREQUENT_SHARE * size], n[n > FREQUENT_SHARE * size]
+            kind = np.r_[np.ones(len(h), np.int64), 0]
+            yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(np.r_[h, K.U(0)].astype(K.U).view(np.int64)), pa.array(np.r_[n, size].astype(np.int64))], names=["kind", "h", "n"])
+
+        return docs.select("text").mapInArrow(run, "kind long, h long, n long").groupBy("kind", "h").agg(F.sum("n").alias("n")).collect()
+
+    # a word over the share of all words is over the share of one task's at least
+    candidates = np.array([r["h"] for r in over(None) if r["kind"]], dtype=np.int64).view(np.uint64)
+    counts = over(np.sort(candidates)) if len(candidates) else []
+    total = sum(r["n"] for r in counts if not r["kind"])
+    found = [r["h"] for r in counts if r["kind"] and r["n"] > FREQUENT_SHARE * total]
+    return np.unique(np.concatenate((np.array([_START], dtype=np.uint64), np.array(found, dtype=np.int64).view(np.uint64))))
 
 
 def language_model_scores(docs: DataFrame, modulus: int = 7, held: int = 2, settings: Settings | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -476,6 +476,13 @@ def test_language_model(spark, docs):
     assert pitman_yor.language_model_scores(frame(spark, [(None, "a b")])).first()["score"] == 0.0
 
 
+def test_frequent_words_are_of_all_rows(spark):
+    rows = [(k, "aa bb") for k in range(2100)] + [(9000 + k, "zz " * 1000) for k in range(20)]
+    first, then = (pitman_yor._frequent(frame(spark, r).coalesce(1)).tolist() for r in (rows, rows[::-1]))
+    (zz,) = set(kernels.words(np.frombuffer(b"zz", np.uint8), np.array([0, 2]), lower=True)[0].tolist())
+    assert first == then and zz in first
+
+
 def test_model_is_a_distribution(spark):
     """Probabilities of all words after a context, unknown ones together, add up to one."""
     text = " ".join(random.Random(9).choice("abcde") for _ in range(300))
