@@ -7,16 +7,21 @@ training vocabulary and one unknown word.  Discounts and strengths are parameter
 Seating is sampled by Gibbs: given all others, the number of tables of a pair seen c times has
 probability proportional to ``prod(strength + discount * (others + k)) * parent(word)**t * S(c, t)``
 with generalised Stirling numbers S; this is drawn exactly up to c = 64, and for larger c customers
-64+1..c are seated by the Chinese-restaurant rule in blocks of an eighth of those seated.  Sweeps run in
-parallel over restaurants with the parent held at its last estimate; after burn-in each sweep is a sample.
-The parent is seated for each sample, and the samples' predictive probabilities are averaged.
+64+1..c are seated by the Chinese-restaurant rule in blocks of an eighth of those seated.  Sweeps alternate:
+all context restaurants are seated in parallel under the parent's present probabilities, then the parent is
+seated once for the tables they have now, and its new probabilities go to the next sweep.  Within a sweep other
+dishes' tables are those before it, in exact totals over all tasks.  After burn-in each sweep is a sample, and the
+samples' predictive probabilities are averaged.
 
 Dataflow (all packed, one plan):  each map task numbers the distinct pairs of a batch of whole texts,
 sends them with training counts to the tasks that own the contexts, and the texts as streams of pair
 numbers to a home task.  Owners of contexts and owners of words then exchange requests and answers in a
-fixed order (counts, table counts, parent seatings), and owners answer the home tasks, which add up each
-document's score.  A batch sends each pair once, so repeated text costs nothing extra; the pairs of very
-frequent contexts are dealt over all owners.  Nothing is broadcast but a list of frequent context words.
+fixed order (counts, then for each sweep table counts and parent seatings), and owners answer the home tasks,
+which add up each document's score.  Seatings travel along from round to round.  A batch sends each pair once, so
+repeated text costs nothing extra; the pairs of very frequent contexts, found by exact counts of all words, are
+dealt over all owners, and totals of their counts and tables are exchanged in each round.  Nothing is broadcast
+but a list of frequent context words.  Random numbers are drawn task by task, so another number of shuffle
+partitions draws other samples from the same law.
 
 Defined cases: null, empty and white-space texts consist of the end token alone.  A document with a null
 id is scored, not learnt from, and its held_out is null.  Repeated rows are scored and learnt one by one.
@@ -138,22 +143,37 @@ class _Owned:
     def per_word(self, x):
         return np.bincount(self.w_of, weights=x, minlength=len(self.words)).astype(np.int64)
 
-    def samples(self, parent: np.ndarray, s: Settings, part: int, parts: int) -> list[np.ndarray]:
-        """Table numbers of each pair, sample by sample; the same at every call."""
-        rng = np.random.default_rng([s.seed, part])
-        stirling, parent = _stirling(s.discount2), parent[self.w_of]
-        share = np.ones(len(self.u))
-        share[self.hot] = parts
-        tables, out = np.minimum(self.count, 1), []
+    def sweep(self, tables: np.ndarray, total: np.ndarray, parent: np.ndarray, s: Settings, rng) -> np.ndarray:
+        """New table numbers of each pair; total: tables of each context over all owners; parent by word."""
         several = np.flatnonzero(self.count > 1)
-        for sweep in range(s.burn_in + s.samples):
-            total = self.per_context(tables) * share
-            base = s.strength2 + s.discount2 * np.maximum(total[self.u_of[several]] - tables[several], 0)
-            tables = tables.copy()
-            tables[several] = seat(self.count[several], tables[several], base, parent[several], s.discount2, stirling, rng)
-            if sweep >= s.burn_in:
-                out.append(tables)
-        return out
+        base = s.strength2 + s.discount2 * np.maximum(total[self.u_of[several]] - tables[several], 0)
+        tables = tables.copy()
+        tables[several] = seat(self.count[several], tables[several], base, parent[self.w_of[several]], s.discount2, _stirling(s.discount2), rng)
+        return tables
+
+    def over_all(self, mine: np.ndarray, hot: dict, j: int) -> np.ndarray:
+        """Sums by context, with those over all owners, column j of hot, for the contexts dealt over them."""
+        mine = mine.copy()
+        if len(self.hot):
+            mine[self.hot] = [hot[x][j] for x in self.u[self.hot].tolist()]
+        return mine
+
+
+def _bundle(*arrays: np.ndarray) -> bytes:
+    """Columns of different lengths in one."""
+    packed = [K.pack(a) for a in arrays]
+    return b"".join([len(packed).to_bytes(4, "little"), *(len(x).to_bytes(4, "little") for x in packed), *packed])
+
+
+def _unbundle(blob) -> list[np.ndarray]:
+    blob = memoryview(blob)
+    n = int.from_bytes(blob[:4], "little")
+    at, out = 4 + 4 * n, []
+    for k in range(n):
+        size = int.from_bytes(blob[4 + 4 * k : 8 + 4 * k], "little")
+        out.append(K.unpack(blob[at : at + size], 1)[0].astype(np.int64))
+        at += size
+    return out
 
 
 def _write_pairs(words: np.ndarray, u: np.ndarray, w: np.ndarray, count: np.ndarray) -> bytes:
@@ -279,7 +299,32 @@ def language_model_scores(docs: DataFrame, modulus: int = 7, held: int = 2, sett
         if own.empty:
             return _table([])
         c, k = own.per_word(own.count), own.per_word(own.count > 0)
-        return _table([(q, 1, part, K.pack(own.words[a:b], c[a:b], k[a:b], delta=1)) for q, a, b in _split(own.words, parts)])
+        rows = [(q, 1, part, K.pack(own.words[a:b], c[a:b], k[a:b], delta=1)) for q, a, b in _split(own.words, parts)]
+        return _table(rows + seats(own, part, np.minimum(own.count, 1)))
+
+    def seats(own, part, tables):
+        """Counts and tables of the contexts that are dealt over all owners, to whoever adds them up."""
+        if not len(own.hot):
+            return []
+        u, to = own.u[own.hot], owner_of(own.u[own.hot])
+        mine = [own.per_context(x)[own.hot] for x in (own.count, tables)]
+        return [(int(q), 4, part, K.pack(u[to == q], *(x[to == q] for x in mine))) for q in np.unique(to)]
+
+    def sums_of_seats(table, part):
+        got = [(src, K.unpack(blob, 3)) for src, blob in requests(table, 4)]
+        if not got:
+            return []
+        u, place = np.unique(np.concatenate([x[0] for _, x in got]), return_inverse=True)
+        sums = [np.bincount(place, weights=np.concatenate([x[j] for _, x in got])).astype(np.int64) for j in (1, 2)]
+        return [(src, 6, part, K.pack(x[0], *(y[np.searchsorted(u, x[0])] for y in sums))) for src, x in got]
+
+    def told_seats(table) -> dict:
+        """(count, tables) over all owners of each context that is dealt over them."""
+        found = {}
+        for _, blob in requests(table, 6):
+            u, n, t = K.unpack(blob, 3)
+            found |= dict(zip(u.tolist(), zip(n.tolist(), t.tolist(), strict=True), strict=True))
+        return found
 
     def requests(table, kind):
         return sorted(((src.as_py(), blob.as_buffer()) for k, src, blob in zip(table["kind"], table["src"], table["blob"], strict=True) if k.as_py() == kind), key=lambda x: x[0])
@@ -311,11 +356,14 @@ def language_model_scores(docs: DataFrame, modulus: int = 7, held: int = 2, sett
         told = {r[0] for r in rows}
         return rows + [(p, kind, part, len(head).to_bytes(4, "little") + head) for p in range(parts) if p not in told]
 
+    # The first tables: one for each pair, and one of the parent's for each word.
     def count(key, table):
         part = key[0].as_py()
         words = Words(table)
-        head = (words.c.sum(), (words.c > 0).sum(), words.k.sum())
-        return _table(silent(words.answers(2, part, head, words.c, words.k), 2, part, head))
+        t = np.minimum(words.k, 1)
+        head = (words.c.sum(), (words.c > 0).sum(), words.k.sum(), t.sum())
+        rows = silent(words.answers(2, part, head, words.k, t), 2, part, head)
+        return _table(rows + sums_of_seats(table, part) + [(part, 11, part, K.pack(t))])
 
     def heard(table, kind, heads, columns):
         """Sums of the heads, and the columns in the order of the words."""
@@ -328,77 +376,84 @@ def language_model_scores(docs: DataFrame, modulus: int = 7, held: int = 2, sett
                 got.append(K.unpack(blob[4 + n :], columns))
         return total.tolist(), [np.concatenate([g[j] for g in got]).astype(np.int64) if got else np.zeros(0, np.int64) for j in range(columns)]
 
-    def first_parent(k, contexts, vocabulary):
-        return (k - s.discount1 * (k > 0) + (s.strength1 + s.discount1 * vocabulary) / (vocabulary + 1)) / (s.strength1 + contexts)
+    def parent_of(n1, t1, all_n, all_t, vocabulary):
+        return (n1 - s.discount1 * t1 + (s.strength1 + s.discount1 * all_t) / (vocabulary + 1)) / (s.strength1 + all_n)
 
     def owner_of(u):
         return (K.mix(u ^ K.U(0x1F83D9ABFB41BD6B)) % K.U(parts)).astype(np.int64)
 
-    def sample(key, table, answers):
-        part = key[0].as_py()
-        own = _Owned(table, hot)
-        if own.empty:
-            return _table([])
-        (_, v, contexts), (_, k) = heard(answers, 2, 3, 2)
-        drawn = own.samples(first_parent(k, contexts, v), s, part, parts)
-        sums = [own.per_word(t) for t in drawn]
-        rows = [(q, 3, part, K.pack(*(x[a:b] for x in sums))) for q, a, b in _split(own.words, parts)]
-        if len(own.hot):
-            seats = [own.per_context(x)[own.hot] for x in (own.count, *drawn)]
-            to = owner_of(own.u[own.hot])
-            for q in np.unique(to):
-                rows.append((int(q), 4, part, K.pack(own.u[own.hot][to == q], *(x[to == q] for x in seats))))
-        return _table(rows)
-
-    def parents(key, asked, told):
-        part = key[0].as_py()
-        words = Words(asked)
-        got = [K.unpack(blob, s.samples) for _, blob in requests(told, 3)]
-        n1 = [words.total(np.concatenate([g[j] for g in got])) if got else np.zeros(0, np.int64) for j in range(s.samples)]
-        known = (words.c > 0).sum()
-        rng, stirling, t1 = np.random.default_rng([s.seed, 1, part]), _stirling(s.discount1), []
-        # the parent's other tables are as many for each word here as elsewhere
-        for n in n1:
-            t = np.minimum(n, 1)
-            for _ in range(s.burn_in + 1):
-                base = s.strength1 + s.discount1 * np.maximum(t.sum() * parts - t, 0)
-                t = seat(n, t, base.astype(float), np.full(len(n), 1 / (known * parts + 1)), s.discount1, stirling, rng)
-            t1.append(t)
-        head = (words.c.sum(), known, words.k.sum(), *(n.sum() for n in n1), *(t.sum() for t in t1))
-        rows = silent(words.answers(5, part, head, words.c, words.k, *n1, *t1), 5, part, head)
-        hot_rows = [(src, K.unpack(blob, 2 + s.samples)) for src, blob in requests(told, 4)]
-        if hot_rows:
-            u, place = np.unique(np.concatenate([x[0] for _, x in hot_rows]), return_inverse=True)
-            sums = [np.bincount(place, weights=np.concatenate([x[j] for _, x in hot_rows])).astype(np.int64) for j in range(1, 2 + s.samples)]
-            for src, x in hot_rows:
-                some = np.searchsorted(u, x[0])
-                rows.append((src, 6, part, K.pack(x[0], *(y[some] for y in sums))))
-        return _table(rows)
+    # Rows of kind 10 are the seatings of an owner of contexts, which come back to it with the answers: tables of the
+    # pairs seen more than once in the present sweep; and for each sample before its tables, the parent's customers and
+    # tables by word, their totals, and the tables of contexts dealt over all owners.
+    def state(own, answers):
+        """Which pairs are seen more than once, how their tables become those of all pairs, and the columns kept."""
+        several = own.count > 1
+
+        def opened(x):
+            tables = np.minimum(own.count, 1)
+            tables[several] = x
+            return tables
+
+        kept = [_unbundle(blob) for _, blob in requests(answers, 10)]
+        return several, opened, kept[0] if kept else [np.ones(several.sum(), np.int64)]
+
+    def sampler(sweep):
+        def sample(key, table, answers):
+            part = key[0].as_py()
+            own = _Owned(table, hot)
+            (_, v, all_n, all_t), (n1, t1) = heard(answers, 2, 4, 2)
+            # the parent's seating goes back to its owner, with the tables of all owners
+            rows = [(part, 12, part, K.pack(np.array([v]), np.array([all_t])))] + [(part, 11, part, bytes(b)) for _, b in requests(answers, 11)]
+            if own.empty:
+                return _table(rows)
+            several, opened, kept = state(own, answers)
+            before = opened(kept[0])
+            total = own.over_all(own.per_context(before), told_seats(answers), 1)
+            # what was drawn in the sweep before is a sample, if burn-in was over
+            past = kept[1:] + ([kept[0], n1, t1, np.array([all_n, all_t]), total[own.hot]] if sweep > s.burn_in else [])
+            tables = own.sweep(before, total, parent_of(n1, t1, all_n, all_t, v), s, np.random.default_rng([s.seed, part, sweep]))
+            x = own.per_word(tables)
+            rows += [(q, 3, part, K.pack(x[a:b])) for q, a, b in _split(own.words, parts)]
+            return _table(rows + seats(own, part, tables) + [(part, 10, part, _bundle(tables[several], *past))])
+
+        return sample
+
+    def seater(sweep):
+        def parents(key, asked, told):
+            part = key[0].as_py()
+            words = Words(asked)
+            got = [K.unpack(blob, 1)[0] for _, blob in requests(told, 3)]
+            n = words.total(np.concatenate(got)) if got else np.zeros(0, np.int64)
+            known, all_t = (int(x[0]) for x in K.unpack(requests(told, 12)[0][1], 2))
+            (t,) = K.unpack(requests(told, 11)[0][1], 1) if requests(told, 11) else (np.zeros(0, np.int64),)
+            t = t.astype(np.int64)
+            t = np.clip(t, np.minimum(n, 1), n)
+            base = s.strength1 + s.discount1 * np.maximum(all_t - t, 0)
+            t = seat(n, t, base.astype(float), np.full(len(n), 1 / (known + 1)), s.discount1, _stirling(s.discount1), np.random.default_rng([s.seed, 1, part, sweep]))
+            head = (words.c.sum(), (words.c > 0).sum(), n.sum(), t.sum())
+            last = (words.c,) if sweep == s.burn_in + s.samples - 1 else ()
+            rows = silent(words.answers(2, part, head, n, t, *last), 2, part, head)
+            rows += [(part, 10, part, bytes(b)) for _, b in requests(told, 10)]
+            return _table(rows + sums_of_seats(told, part) + [(part, 11, part, K.pack(t))])
+
+        return parents
 
     def score(key, table, answers):
         part = key[0].as_py()
         own = _Owned(table, hot)
         if own.empty:
             return _table([])
-        total, columns = heard(answers, 5, 3 + 2 * s.samples, 2 + 2 * s.samples)
-        n, v, contexts = total[:3]
-        c, k = columns[:2]
-        drawn = own.samples(first_parent(k, contexts, v), s, part, parts)
-        hot_total = {}
-        for _, blob in requests(answers, 6):
-            u, *sums = K.unpack(blob, 2 + s.samples)
-            hot_total |= {x: y for x, *y in zip(u.tolist(), *(z.tolist() for z in sums), strict=True)}
-        seen = own.per_context(own.count)
-        if len(own.hot):
-            seen[own.hot] = [hot_total[int(x)][0] for x in own.u[own.hot]]
+        (n, v, all_n, all_t), (n1, t1, c) = heard(answers, 2, 4, 3)
+        _, opened, kept = state(own, answers)
+        told = told_seats(answers)
+        seen = own.over_all(own.per_context(own.count), told, 0)
+        past = kept[1:] + [kept[0], n1, t1, np.array([all_n, all_t]), own.over_all(own.per_context(opened(kept[0])), told, 1)[own.hot]]
         p = np.zeros(len(own.count))
-        for j, t in enumerate(drawn):
-            n1, t1 = columns[2 + j], columns[2 + s.samples + j]
-            all_n, all_t = total[3 + j], total[3 + s.samples + j]
-            parent = (n1 - s.discount1 * t1 + (s.strength1 + s.discount1 * all_t) / (v + 1)) / (s.strength1 + all_n)
+        for j in range(0, len(past), 5):
+            x, n1, t1, (all_n, all_t), dealt = past[j : j + 5]
+            t, parent = opened(x), parent_of(n1, t1, all_n, all_t, v)
             open_tables = own.per_context(t)
-            if len(own.hot):
-                open_tables[own.hot] = [hot_total[int(x)][1 + j] for x in own.u[own.hot]]
+            open_tables[own.hot] = dealt
             spare = ((s.strength2 + s.discount2 * open_tables) / (s.strength2 + seen))[own.u_of]
             p += (own.count - s.discount2 * t) / (s.strength2 + seen)[own.u_of] + spare * parent[own.w_of]
         cost = np.rint(-np.log10(np.minimum(p / s.samples, 1)) * SCORE_UNIT).astype(np.int64)
@@ -458,7 +513,9 @@ def language_model_scores(docs: DataFrame, modulus: int = 7, held: int = 2, sett
     pairs = docs.mapInArrow(deal, _SCHEMA)
     asked = by(pairs).applyInArrow(ask, _SCHEMA)
     counted = by(asked).applyInArrow(count, _SCHEMA)
-    drawn = by(pairs).cogroup(by(counted)).applyInArrow(sample, _SCHEMA)
-    seated = by(asked).cogroup(by(drawn)).applyInArrow(parents, _SCHEMA)
-    scored = by(pairs).cogroup(by(seated)).applyInArrow(score, _SCHEMA)
+    told = counted
+    for sweep in range(s.burn_in + s.samples):
+        drawn = by(pairs).cogroup(by(told)).applyInArrow(sampler(sweep), _SCHEMA)
+        told = by(asked).cogroup(by(drawn)).applyInArrow(seater(sweep), _SCHEMA)
+    scored = by(pairs).cogroup(by(told)).applyInArrow(score, _SCHEMA)
     return by(pairs).cogroup(by(scored)).applyInArrow(home, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

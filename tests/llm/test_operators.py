@@ -483,6 +483,24 @@ def test_frequent_words_are_of_all_rows(spark):
     assert first == then and zz in first
 
 
+def test_scores_do_not_hang_on_the_number_of_tasks(spark):
+    """A phrase in many copies: its words are dealt over all tasks, and one task has the only successor."""
+    r = random.Random(11)
+    phrase = " ".join(f"p{k}" for k in range(40))
+    rows = [(k, phrase if k % 3 == 0 else " ".join(f"v{r.randrange(300)}" for _ in range(40))) for k in range(300)]
+    rows += [(1000 + k, " ".join(f"p{r.randrange(40)}" for _ in range(40))) for k in range(60)]
+    means = []
+    for parts in ("1", "64"):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            got = pitman_yor.language_model_scores(frame(spark, rows).coalesce(1)).collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+        means.append(np.mean([x["score"] for x in got if x["doc_id"] >= 1000]))
+    assert means[0] == pytest.approx(means[1], rel=0.01)
+
+
 def test_model_is_a_distribution(spark):
     """Probabilities of all words after a context, unknown ones together, add up to one."""
     text = " ".join(random.Random(9).choice("abcde") for _ in range(300))
