@@ -102,8 +102,9 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0) ->
         held_bytes = {0: 0, 1: 0}
         for row in joined.orderBy("at", "doc_id", "text").toLocalIterator():  # bounded: SAMPLE_ROWS a class
             q = row["quality"]
-            held_bytes[q] += len(row["text"].encode())
-            if held_bytes[q] <= SAMPLE_BYTES:
+            size = len(row["text"].encode())
+            if held_bytes[q] + size <= SAMPLE_BYTES:  # texts that do not fit are passed over, and use nothing up
+                held_bytes[q] += size
                 texts[q].append(row["text"])
     total = sum(share.values())
     prior = share.get(1, 0) / total if total else 0.5

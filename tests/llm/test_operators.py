@@ -454,6 +454,18 @@ def test_compression_classifier(spark):
     assert cc.fit(table, labels.limit(0)).scorer()("x") == 0.5 and cc.scored(table.limit(0), model).count() == 0
 
 
+def test_a_text_over_the_byte_bound_uses_nothing_up(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(cc, "SAMPLE_BYTES", 20_000)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, quality int")
+    fitted = labels.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
+    first = fitted.filter("quality = 0").orderBy(F.xxhash64("doc_id")).first()[0]
+    rows = [(k, "good river sea hills " * 20 if k % 2 else "BUY NOW win FREE " * (9000 if k == first else 20)) for k in range(40)]
+    model = cc.fit(frame(spark, rows), labels)
+    assert model.good and model.bad
+
+
 def test_language_model(spark, docs):
     rows = [(d, t) for d, t in docs if d < 80] + [(None, "one one"), (81, "one two"), (81, "one two")]
     got = pitman_yor.language_model_scores(frame(spark, rows)).collect()
