@@ -4,24 +4,25 @@ Model: each context word has a restaurant whose customers are the words that fol
 of it is a customer of the one parent restaurant of single words, whose own parent is uniform over the
 training vocabulary and one unknown word.  Discounts and strengths are parameters.
 
-Seating is sampled by Gibbs: given all others, the number of tables of a pair seen c times has
-probability proportional to ``prod(strength + discount * (others + k)) * parent(word)**t * S(c, t)``
-with generalised Stirling numbers S; this is drawn exactly up to c = 64, and for larger c customers
-64+1..c are seated by the Chinese-restaurant rule in blocks of an eighth of those seated.  Sweeps alternate:
-all context restaurants are seated in parallel under the parent's present probabilities, then the parent is
-seated once for the tables they have now, and its new probabilities go to the next sweep.  Within a sweep other
-dishes' tables are those before it, in exact totals over all tasks.  After burn-in each sweep is a sample, and the
-samples' predictive probabilities are averaged.
-
-Dataflow (all packed, one plan):  each map task numbers the distinct pairs of a batch of whole texts,
-sends them with training counts to the tasks that own the contexts, and the texts as streams of pair
-numbers to a home task.  Owners of contexts and owners of words then exchange requests and answers in a
-fixed order (counts, then for each sweep table counts and parent seatings), and owners answer the home tasks,
-which add up each document's score.  Seatings travel along from round to round.  A batch sends each pair once, so
-repeated text costs nothing extra; the pairs of very frequent contexts, found by exact counts of all words, are
-dealt over all owners, and totals of their counts and tables are exchanged in each round.  Nothing is broadcast
-but a list of frequent context words.  Random numbers are drawn task by task, so another number of shuffle
-partitions draws other samples from the same law.
+Seating is sampled by a blocked Gibbs sampler, in which no restaurant is seated in sequence.  Each sweep draws
+(1) an auxiliary variable of each context from its number of tables, and given it and the parent's word
+probabilities the tables of each of its dishes on their own (see ``seating``); (2) likewise the parent's tables
+for the customers these make; (3) the parent's word probabilities from its seating: gamma variates of customers
+less discounted tables, and one of the rest, which goes evenly to all words.  After burn-in every sweep is a
+sample; the samples' predictive probabilities are averaged.  All random numbers are functions of the seed, the
+sweep and the hashes of context and word, and what tasks exchange are integers or element by element, so scores
+depend neither on the number of partitions nor on the order of rows.
+
+Dataflow (all packed, one plan):  one pass counts tokens and finds very frequent words.  Map tasks number the
+distinct pairs of a batch of whole texts and send them with training counts to the owners of the contexts, and the
+texts as streams of word numbers to a home, which owners of contexts do not read.  Owners of contexts and of words
+then exchange requests and answers (first counts, then for each sweep tables and probabilities), and owners answer
+the homes, which add up each document's score.  A sweep speaks only of words that follow some context of the owner more than once:
+the others have one table whatever happens.  A batch sends each pair once, so repeated text costs nothing extra; the pairs of
+very frequent contexts are dealt over all owners, and exact totals of their counts and tables are
+exchanged in each round.  There is an owner for each OWNER_TOKENS tokens, so the memory of a task does not grow with
+the data.  Nothing is broadcast but a list of at most 1 / FREQUENT_SHARE words.  Messages are one for each pair of
+owners that share a word, and one with totals for each pair of owners.
 
 Defined cases: null, empty and white-space texts consist of the end token alone.  A document with a null
 id is scored, not learnt from, and its held_out is null.  Repeated rows are scored and learnt one by one.
@@ -40,20 +41,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .shared import partitions
-
-#: Tokens that one map task numbers at once; bounds its memory.
-FLUSH = 1_500_000
-#: Seatings of pairs seen up to so often are drawn from exact weights.
-EXACT = 64
-#: The score of a token travels in units of 2**-12.
-SCORE_UNIT = 4096
-#: Contexts are dealt over all owners if they make up more than this share of all words.
-FREQUENT_SHARE = 0.0005
+from . import seating
+from .shared import dropped, partitions, written
+
+#: Tokens that one map task numbers at once, and tokens for each owner of contexts; they bound a task's memory.
+FLUSH, OWNER_TOKENS = 2_000_000, 4_000_000
+#: Fewer tokens than this are not worth an owner of their own.
+LEAST_TOKENS = 250_000
+#: Cost of a token in units of 2**-12; the parent's gamma variates are summed in units of 2**-20.
+SCORE_UNIT, MASS_UNIT = 4096, 1 << 20
+#: Words over twice this share of all words are dealt over all owners as contexts.
+FREQUENT_SHARE = 0.00025
 
 _SCHEMA = "part int, kind int, src long, blob binary"
 _NAMES = ["part", "kind", "src", "blob"]
 _START, _END = K.mix(np.array([0x53544152, 0x454E44], dtype=np.uint64))
+_CONTEXT, _DISH, _PARENT, _WORD, _MASS, _REST = range(6)  # streams of random numbers
 
 
 @dataclass(frozen=True)
@@ -69,94 +72,57 @@ class Settings:
     seed: int = 20_240_229
 
 
-def _table(rows) -> pa.Table:
-    part, kind, src, blob = zip(*rows, strict=True) if rows else ((), (), (), ())
-    return pa.table([pa.array(part, pa.int32()), pa.array(kind, pa.int32()), pa.array(src, pa.int64()), pa.array(blob, pa.binary())], names=_NAMES)
+class Chain:
+    """The steps of the sampler, element by element over arrays of contexts, pairs and words."""
 
+    def __init__(self, s: Settings) -> None:
+        self.s, self.table2, self.table1 = s, seating.stirling(s.discount2), seating.stirling(s.discount1)
 
-def _stirling(discount: float) -> np.ndarray:
-    """log S(c, t) for c, t <= EXACT, with S(c + 1, t) = S(c, t - 1) + (c - discount * t) * S(c, t)."""
-    out = np.full((EXACT + 1, EXACT + 1), -np.inf)
-    out[1, 1] = 0.0
-    with np.errstate(divide="ignore"):
-        for c in range(1, EXACT):
-            t = np.arange(1, c + 2)
-            out[c + 1, 1 : c + 2] = np.logaddexp(out[c, t - 1], np.log(np.maximum(c - discount * t, 0)) + out[c, t])
-    return out
+    def pairs(self, sweep: int, u, w, count, total, base) -> np.ndarray:
+        """Tables of pairs seen so often, with the tables of their contexts and the probabilities of their words."""
+        s = self.s
+        x = seating.gamma(s.strength2 / s.discount2 + total, seating.key(u, s.seed, sweep, _CONTEXT))
+        return seating.seat(count, s.discount2 * x * base, s.discount2, self.table2, seating.key(u + seating.key(w, _WORD), s.seed, sweep, _DISH))
 
+    def words(self, sweep: int, w, customers, vocabulary: int, tables: int) -> np.ndarray:
+        """The parent's tables of words with so many customers; vocabulary and tables: totals before this step."""
+        s = self.s
+        x = seating.gamma(np.array([s.strength1 / s.discount1 + tables]), seating.key(np.zeros(1, K.U), s.seed, sweep, _PARENT))[0]
+        return seating.seat(customers, np.full(len(customers), s.discount1 * x / (vocabulary + 1)), s.discount1, self.table1, seating.key(w, s.seed, sweep, _WORD))
 
-def seat(counts: np.ndarray, tables: np.ndarray, base: np.ndarray, parent: np.ndarray, discount: float, stirling: np.ndarray, rng) -> np.ndarray:
-    """New table numbers of dishes with these counts; base: strength + discount * tables of other dishes."""
-    out = np.minimum(counts, 1)
-    order = np.argsort(counts, kind="stable")
-    at = np.searchsorted(counts[order], np.arange(2, EXACT + 2))
-    large = order[at[-1] :]
-    groups = [(c, order[at[c - 2] : at[c - 1]]) for c in range(2, EXACT + 1)] + [(EXACT, large)]
-    for c, which in groups:
-        for lo in range(0, len(which), 1 << 20 >> c.bit_length()):
-            some = which[lo : lo + (1 << 20 >> c.bit_length())]
-            log = np.cumsum(np.log(base[some, None] + discount * np.arange(c)), axis=1)
-            log += np.arange(1, c + 1) * np.log(parent[some, None]) + stirling[c, 1 : c + 1]
-            weight = np.cumsum(np.exp(log - log.max(axis=1, keepdims=True)), axis=1)
-            out[some] = 1 + (weight < rng.random(len(some))[:, None] * weight[:, -1:]).sum(axis=1)
-    seated, here = np.full(len(large), EXACT), out[large].astype(np.float64)
-    while len(large) and (seated < counts[large]).any():
-        block = np.minimum(counts[large] - seated, np.maximum(seated // 8, 1))
-        new = (base[large] + discount * here) * parent[large]
-        here += rng.binomial(block, new / (new + seated - discount * here))
-        seated = seated + block
-    out[large] = here.astype(out.dtype)
-    return out
+    def mass(self, sweep: int, w, customers, tables) -> np.ndarray:
+        """The parent's probabilities of words by its seating, up to a common factor."""
+        out = np.zeros(len(w))
+        some = customers > 0
+        out[some] = seating.gamma(customers[some] - self.s.discount1 * tables[some], seating.key(w[some], self.s.seed, sweep, _MASS))
+        return out.astype(np.float32)
 
+    def base(self, sweep: int, mass, all_mass: int, vocabulary: int, tables: int) -> np.ndarray:
+        """Probabilities of words from their mass, with the rest spread evenly; totals are those of the same step."""
+        s = self.s
+        rest = seating.gamma(np.array([s.strength1 + s.discount1 * tables]), seating.key(np.zeros(1, K.U), s.seed, sweep, _REST))[0]
+        return (mass.astype(np.float64) + rest / (vocabulary + 1)) / (all_mass / MASS_UNIT + rest)
 
-class _Owned:
-    """The distinct pairs that one task owns, over all batches, sorted by context and word."""
+    def parent(self, customers, tables, all_customers: int, all_tables: int, vocabulary: int) -> np.ndarray:
+        """Predictive probabilities of words in the parent restaurant."""
+        s = self.s
+        return (customers - s.discount1 * tables + (s.strength1 + s.discount1 * all_tables) / (vocabulary + 1)) / (s.strength1 + all_customers)
 
-    def __init__(self, table: pa.Table, hot: np.ndarray) -> None:
-        us, ws, cs, self.chunks = [], [], [], []
-        for kind, src, blob in zip(table["kind"], table["src"], table["blob"], strict=True):
-            if kind.as_py() == 0:
-                u, w, c = _read_pairs(blob.as_buffer())
-                self.chunks.append((src.as_py(), len(u)))
-                us.append(u)
-                ws.append(w)
-                cs.append(c)
-        self.empty = not us
-        if self.empty:
-            return
-        u, w, c = np.concatenate(us), np.concatenate(ws), np.concatenate(cs).astype(np.int64)
-        order = np.lexsort((w, u))
-        at = K.runs(u[order], w[order])
-        self.place = np.empty(len(u), dtype=np.int64)
-        self.place[order] = np.repeat(np.arange(len(at) - 1), np.diff(at))
-        self.count = np.add.reduceat(c[order], at[:-1])
-        u, w = u[order][at[:-1]], w[order][at[:-1]]
-        self.u_at = K.runs(u)
-        self.u = u[self.u_at[:-1]]
-        self.u_of = np.repeat(np.arange(len(self.u)), np.diff(self.u_at))
-        self.words, self.w_of = np.unique(w, return_inverse=True)
-        self.hot = np.flatnonzero(np.isin(self.u, hot))
+    def predictive(self, count, tables, seen, total, parent) -> np.ndarray:
+        """Predictive probabilities of words in contexts with so many customers seen and tables in total."""
+        s = self.s
+        return (count - s.discount2 * tables + (s.strength2 + s.discount2 * total) * parent) / (s.strength2 + seen)
 
-    def per_context(self, x):
-        return np.add.reduceat(x, self.u_at[:-1])
 
-    def per_word(self, x):
-        return np.bincount(self.w_of, weights=x, minlength=len(self.words)).astype(np.int64)
+def _table(rows) -> pa.Table:
+    part, kind, src, blob = zip(*rows, strict=True) if rows else ((), (), (), ())
+    return pa.table([pa.array(part, pa.int32()), pa.array(kind, pa.int32()), pa.array(src, pa.int64()), pa.array(blob, pa.binary())], names=_NAMES)
 
-    def sweep(self, tables: np.ndarray, total: np.ndarray, parent: np.ndarray, s: Settings, rng) -> np.ndarray:
-        """New table numbers of each pair; total: tables of each context over all owners; parent by word."""
-        several = np.flatnonzero(self.count > 1)
-        base = s.strength2 + s.discount2 * np.maximum(total[self.u_of[several]] - tables[several], 0)
-        tables = tables.copy()
-        tables[several] = seat(self.count[several], tables[several], base, parent[self.w_of[several]], s.discount2, _stirling(s.discount2), rng)
-        return tables
 
-    def over_all(self, mine: np.ndarray, hot: dict, j: int) -> np.ndarray:
-        """Sums by context, with those over all owners, column j of hot, for the contexts dealt over them."""
-        mine = mine.copy()
-        if len(self.hot):
-            mine[self.hot] = [hot[x][j] for x in self.u[self.hot].tolist()]
-        return mine
+def _read(table: pa.Table, kind: int) -> list:
+    """(sender, blob) of one kind of messages, in the order of senders."""
+    found = zip(table["kind"], table["src"], table["blob"], strict=True)
+    return sorted(((src.as_py(), blob.as_buffer()) for k, src, blob in found if k.as_py() == kind), key=lambda x: x[0])
 
 
 def _bundle(*arrays: np.ndarray) -> bytes:
@@ -180,53 +146,163 @@ def _write_pairs(words: np.ndarray, u: np.ndarray, w: np.ndarray, count: np.ndar
     """Pairs as indices into sorted word hashes, ordered by u."""
     at = K.runs(u)
     used, index = np.unique(w, return_inverse=True)
-    head = [K.pack(words[u[at[:-1]]], np.diff(at)), K.pack(words[used], delta=1), K.pack(index, count)]
+    head = [K.pack(words[u[at[:-1]]], np.diff(at), delta=1), K.pack(words[used], delta=1), K.pack(index, count)]
     return b"".join([*(len(h).to_bytes(4, "little") for h in head), *head])
 
 
-def _read_pairs(blob) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _read_pairs(blob) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct contexts, their numbers of pairs, and words and counts of the pairs."""
     blob = memoryview(blob)
     size = [int.from_bytes(blob[4 * k : 4 * k + 4], "little") for k in range(3)]
     at = np.cumsum([12, *size])
-    u, runs = K.unpack(blob[at[0] : at[1]], 2)
+    u, runs = K.unpack(blob[at[0] : at[1]], 2, delta=1)
     (words,) = K.unpack(blob[at[1] : at[2]], 1, delta=1)
     index, count = K.unpack(blob[at[2] : at[3]], 2)
-    return np.repeat(u, runs.astype(np.int64)), words[index.astype(np.int64)], count
+    return u, runs.astype(np.int64), words[index.astype(np.int64)], count
 
 
-def _split(words: np.ndarray, parts: int):
-    edges = K.partition_edges(words, parts)
-    return [(q, a, b) for q, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
+class _Owned:
+    """The distinct pairs that one task owns, over all batches, sorted by context and word."""
 
+    def __init__(self, table: pa.Table, hot: np.ndarray) -> None:
+        us, ws, cs, self.chunks = [], [], [], []
+        for src, blob in _read(table, 0):
+            u, runs, w, c = _read_pairs(blob)
+            self.chunks.append((src, len(w), np.cumsum(runs) - runs))
+            us.append(np.repeat(u, runs))
+            ws.append(w)
+            cs.append(c)
+        self.empty = not us
+        if self.empty:
+            return
+        u, w, c = np.concatenate(us), np.concatenate(ws), np.concatenate(cs).astype(np.int64)
+        order = np.lexsort((w, u))
+        at = K.runs(u[order], w[order])
+        self.place = np.empty(len(u), dtype=np.int64)
+        self.place[order] = np.repeat(np.arange(len(at) - 1), np.diff(at))
+        self.count = np.add.reduceat(c[order], at[:-1])
+        u, w = u[order][at[:-1]], w[order][at[:-1]]
+        self.u_at = K.runs(u)
+        self.u = u[self.u_at[:-1]]
+        self.u_of = np.repeat(np.arange(len(self.u)), np.diff(self.u_at))
+        self.words, self.w_of = np.unique(w, return_inverse=True)
+        self.hot = np.flatnonzero(np.isin(self.u, hot))
+        # pairs whose tables are drawn, and the words that these are about
+        self.drawn = np.flatnonzero(self.count > 1)
+        self.asked = np.zeros(len(self.words), dtype=bool)
+        self.asked[self.w_of[self.drawn]] = True
+
+    def per_context(self, x: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(x, self.u_at[:-1])
+
+    def per_word(self, x: np.ndarray) -> np.ndarray:
+        return np.bincount(self.w_of, weights=x, minlength=len(self.words)).astype(np.int64)
 
-def _frequent(docs: DataFrame) -> np.ndarray:
-    """Hashes of the words that make up more than FREQUENT_SHARE of all words; exact, whatever the order of rows."""
+    def opened(self, drawn: np.ndarray) -> np.ndarray:
+        """Tables of all pairs from those of the drawn ones."""
+        tables = np.minimum(self.count, 1)
+        tables[self.drawn] = drawn
+        return tables
 
-    def over(candidates):
-        """Words with more than the share of a task's, or, of the candidates, exact counts; and all words as (0, n)."""
+    def over_all(self, mine: np.ndarray, dealt: dict, j: int) -> np.ndarray:
+        """Sums by context; for those dealt over all owners the totals, column j of dealt."""
+        mine = mine.copy()
+        if len(self.hot):
+            mine[self.hot] = [dealt[x][j] for x in self.u[self.hot].tolist()]
+        return mine
 
-        def run(batches):
-            h, n, size = np.zeros(0, K.U), np.zeros(0), 0
-            for batch in batches:
-                for _, _, buf, offsets in K.text_slices(batch.column(0)):
-                    word = K.words(buf, offsets, lower=True)[0]
-                    size += len(word)
-                    new, count = np.unique(word if candidates is None else word[np.isin(word, candidates)], return_counts=True)
-                    h, place = np.unique(np.concatenate((h, new)), return_inverse=True)
-                    n = np.bincount(place, weights=np.concatenate((n, count)), minlength=len(h))
-            if candidates is None:
-                h, n = h[n > FREQUENT_SHARE * size], n[n > FREQUENT_SHARE * size]
-            kind = np.r_[np.ones(len(h), np.int64), 0]
-            yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(np.r_[h, K.U(0)].astype(K.U).view(np.int64)), pa.array(np.r_[n, size].astype(np.int64))], names=["kind", "h", "n"])
 
-        return docs.select("text").mapInArrow(run, "kind long, h long, n long").groupBy("kind", "h").agg(F.sum("n").alias("n")).collect()
+class _Words:
+    """The words that one owner of words is asked about: who asks, and customers that never change."""
+
+    def __init__(self, table: pa.Table) -> None:
+        got = [(src, K.unpack(blob, 3, delta=1)) for src, blob in _read(table, 1)]
+        self.src = [src for src, _ in got]
+        self.sizes = [len(x[0]) for _, x in got]
+        every = [np.concatenate([x[j] for _, x in got]) if got else np.zeros(0, K.U) for j in range(3)]
+        self.words, self.place = np.unique(every[0], return_inverse=True)
+        self.pairs, self.asked = every[1].astype(np.int64), every[2] > 0
+
+    def total(self, x: np.ndarray) -> np.ndarray:
+        return np.bincount(self.place, weights=x, minlength=len(self.words)).astype(np.int64)
+
+    def customers(self, told: pa.Table) -> np.ndarray:
+        """Tables of all contexts by word, from messages about the words that were asked for."""
+        x = self.pairs.copy()
+        got = [K.unpack(blob, 1)[0] for _, blob in _read(told, 3)]
+        if got:
+            x[self.asked] = np.concatenate(got).astype(np.int64)
+        return self.total(x)
+
+    def answers(self, part: int, parts: int, head: list[int], columns: list, asked: bool) -> list:
+        """To every owner of contexts the totals, and the columns of its words, or of those it asked for."""
+        head, at, rows, told = K.pack(*[np.array([h]) for h in head]), 0, [], set()
+        head = len(head).to_bytes(4, "little") + head
+        for src, n in zip(self.src, self.sizes, strict=True):
+            some = self.place[at : at + n]
+            some = some[self.asked[at : at + n]] if asked else some
+            at += n
+            told.add(src)
+            rows.append((src, 2, part, head + K.pack(*(c[some] for c in columns))))
+        return rows + [(p, 2, part, head) for p in range(parts) if p not in told]
+
+
+def _heard(table: pa.Table, heads: int, columns: int) -> tuple[list[int], list[np.ndarray]]:
+    """Sums of the totals of all owners of words, and the columns in the order of the words."""
+    total, got = [0] * heads, []
+    for _, blob in _read(table, 2):
+        blob = memoryview(blob)
+        n = int.from_bytes(blob[:4], "little")
+        total = [a + int(x[0]) for a, x in zip(total, K.unpack(blob[4 : 4 + n], heads), strict=True)]
+        if len(blob) > 4 + n:
+            got.append(K.unpack(blob[4 + n :], columns))
+    return total, [np.concatenate([g[j] for g in got]) if got else np.zeros(0, K.U) for j in range(columns)]
+
+
+def _numbered(counts: np.ndarray, index: np.ndarray, start: int, end: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs u * m + w of texts with an end token each, which pair each token is, and tokens before each text."""
+    tokens = counts + 1
+    last = np.cumsum(tokens)
+    w = np.empty(int(last[-1]), dtype=np.int64)
+    is_end = np.zeros(len(w), dtype=bool)
+    is_end[last - 1] = True
+    w[is_end] = end
+    w[~is_end] = index
+    u = np.empty_like(w)
+    u[1:] = w[:-1]
+    u[last - tokens] = start
+    pair, place = np.unique(u * m + w, return_inverse=True)
+    return pair, place, last - tokens
+
+
+def _survey(docs: DataFrame, learnt) -> tuple[np.ndarray, int, int]:
+    """Contexts to deal over all owners, and numbers of all tokens and of training tokens.
+
+    A task reports its words over the share of its own; those whose reports add up to the share of all words are
+    taken, and every word over twice the share is among them.  The choice has no effect on results.
+    """
 
-    # a word over the share of all words is over the share of one task's at least
-    candidates = np.array([r["h"] for r in over(None) if r["kind"]], dtype=np.int64).view(np.uint64)
-    counts = over(np.sort(candidates)) if len(candidates) else []
-    total = sum(r["n"] for r in counts if not r["kind"])
-    found = [r["h"] for r in counts if r["kind"] and r["n"] > FREQUENT_SHARE * total]
-    return np.unique(np.concatenate((np.array([_START], dtype=np.uint64), np.array(found, dtype=np.int64).view(np.uint64))))
+    def scan(batches):
+        h, n, size, trained = np.zeros(0, K.U), np.zeros(0), 0, 0
+        for batch in batches:
+            ids = batch.column(0)
+            for lo, hi, buf, offsets in K.text_slices(batch.column(1)):
+                word, counts, _, _ = K.words(buf, offsets, lower=True)
+                size += len(word) + hi - lo
+                trained += int((counts + 1)[learnt(ids.slice(lo, hi - lo))].sum())
+                new, count = np.unique(word, return_counts=True)
+                h, place = np.unique(np.concatenate((h, new)), return_inverse=True)
+                n = np.bincount(place, weights=np.concatenate((n, count)), minlength=len(h))
+        often = n > FREQUENT_SHARE * size
+        kind = np.r_[np.full(often.sum(), 2), 0, 1]
+        yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(K.signed(np.r_[h[often], np.zeros(2, K.U)])), pa.array(np.r_[n[often], size, trained].astype(np.int64))], names=["kind", "h", "n"])
+
+    found = written(docs.mapInArrow(scan, "kind long, h long, n long").groupBy("kind", "h").agg(F.sum("n").alias("n")), "survey")
+    totals = {r["kind"]: r["n"] for r in found.filter("kind < 2").collect()}
+    rows = found.filter((F.col("kind") == 2) & (F.col("n") > FREQUENT_SHARE * totals.get(0, 0))).collect()
+    dropped(found)
+    hot = np.array([r["h"] for r in rows], dtype=np.int64).view(np.uint64)
+    return np.unique(np.r_[hot, _START]), totals.get(0, 0), totals.get(1, 0)
 
 
 def language_model_scores(docs: DataFrame, modulus: int = 7, held: int = 2, settings: Settings | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -234,57 +310,54 @@ def language_model_scores(docs: DataFrame, modulus: int = 7, held: int = 2, sett
 
     Documents whose crc32 of the id as text is ``held`` modulo ``modulus`` are scored but not learnt from.
     """
-    s = settings or Settings()
+    chain = Chain(settings or Settings())
+    s = chain.s
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    parts = partitions(docs.sparkSession)
-    hot = _frequent(docs)
+
+    def learnt(ids) -> np.ndarray:
+        return np.array([d is not None and zlib.crc32(str(d).encode()) % modulus != held for d in ids.to_pylist()], dtype=bool)
+
+    hot, size, trained = _survey(docs, learnt)
+    parts = max(min(partitions(docs.sparkSession), -(-size // LEAST_TOKENS)), -(-size // OWNER_TOKENS), 1)
+
+    def owner_of(h):
+        return (K.mix(h ^ K.U(0x1F83D9ABFB41BD6B)) % K.U(parts)).astype(np.int64)
+
+    def home_of(src):
+        return -1 - int(K.mix(np.array([src], dtype=np.uint64))[0] % K.U(parts))
 
     def deal(batches):
         task, serial, held_back, size = TaskContext.get().partitionId(), 0, [], 0
 
         def flush():
             nonlocal serial
-            number, known, counts, word = (np.concatenate(x) for x in zip(*held_back, strict=True))
+            number, known, learn, counts, word = (np.concatenate(x) for x in zip(*held_back, strict=True))
             source = (task << 24) | serial
             serial += 1
-            learnt = np.array([k and zlib.crc32(str(d).encode()) % modulus != held for d, k in zip(number.tolist(), known.tolist(), strict=True)], dtype=bool)
-            tokens = counts + 1
-            end = np.cumsum(tokens)
             all_words, index = np.unique(np.concatenate((word, [_START, _END])), return_inverse=True)
-            w = np.empty(int(end[-1]), dtype=np.int64)
-            is_end = np.zeros(len(w), dtype=bool)
-            is_end[end - 1] = True
-            w[is_end] = index[-1]
-            w[~is_end] = index[:-2]
-            u = np.empty_like(w)
-            u[1:] = w[:-1]
-            u[end - tokens] = index[-2]
             m = len(all_words)
-            pair, place = np.unique(u * m + w, return_inverse=True)
-            learn = np.bincount(place, weights=np.repeat(learnt, tokens), minlength=len(pair)).astype(np.int64)
+            pair, place, _ = _numbered(counts, index[:-2], int(index[-2]), int(index[-1]), m)
+            count = np.bincount(place, weights=np.repeat(learn, counts + 1), minlength=len(pair)).astype(np.int64)
             pu, pw = pair // m, pair % m
-            edges = K.partition_edges(all_words, parts)
-            owner = (np.searchsorted(edges, np.arange(m), "right") - 1)[pu]
+            owner = (np.searchsorted(K.partition_edges(all_words, parts), np.arange(m), "right") - 1)[pu]
             spread = np.isin(all_words, hot)[pu]
-            owner[spread] = (K.mix(all_words[pu[spread]] + K.mix(all_words[pw[spread]])) % K.U(parts)).astype(np.int64)
+            owner[spread] = owner_of(all_words[pu[spread]] + K.mix(all_words[pw[spread]]))
             order = np.argsort(owner, kind="stable")
-            back = np.empty_like(order)
-            back[order] = np.arange(len(order))
-            owner, pu, pw, learn = owner[order], pu[order], pw[order], learn[order]
-            at = K.runs(owner)
-            rows = [(int(owner[a]), 0, source, _write_pairs(all_words, pu[a:b], pw[a:b], learn[a:b])) for a, b in zip(at[:-1], at[1:], strict=True)]
-            flags = known.astype(np.uint64) | (learnt.astype(np.uint64) << K.U(1))
-            head = K.pack(K.zigzag(number), flags, tokens)
-            home = int(K.mix(np.array([source], dtype=np.uint64))[0] % K.U(parts))
-            rows.append((home, 9, source, len(head).to_bytes(4, "little") + head + K.pack(back[place])))
-            return _table(rows).to_batches()
+            at = K.runs(owner[order])
+            rows = []
+            for a, b in zip(at[:-1], at[1:], strict=True):
+                some = order[a:b]
+                rows.append((int(owner[some[0]]), 0, source, _write_pairs(all_words, pu[some], pw[some], count[some])))
+            flags = known.astype(np.uint64) | (learn.astype(np.uint64) << K.U(1))
+            stream = _bundle(K.zigzag(number), flags, counts, index[:-2], np.array([*index[-2:], m]), owner)
+            return _table([*rows, (home_of(source), 9, source, stream)]).to_batches()
 
         for batch in batches:
             ids = batch.column(0)
             for lo, hi, buf, offsets in K.text_slices(batch.column(1)):
                 word, counts, _, _ = K.words(buf, offsets, lower=True)
                 mine = ids.slice(lo, hi - lo)
-                held_back.append((mine.fill_null(0).to_numpy(zero_copy_only=False), ~np.asarray(mine.is_null()), counts, word))
+                held_back.append((mine.fill_null(0).to_numpy(zero_copy_only=False), ~np.asarray(mine.is_null()), learnt(mine), counts, word))
                 size += len(word) + hi - lo
                 if size >= FLUSH:
                     yield from flush()
@@ -293,17 +366,20 @@ def language_model_scores(docs: DataFrame, modulus: int = 7, held: int = 2, sett
             yield from flush()
 
     # Owners of contexts ask owners of words, always about the same sorted words.
+    def by_word(own, part, kind, *columns):
+        edges = K.partition_edges(own.words, parts)
+        return [(q, kind, part, K.pack(*(c[a:b] for c in columns), delta=int(kind == 1))) for q, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
+
     def ask(key, table):
         part = key[0].as_py()
         own = _Owned(table, hot)
         if own.empty:
             return _table([])
-        c, k = own.per_word(own.count), own.per_word(own.count > 0)
-        rows = [(q, 1, part, K.pack(own.words[a:b], c[a:b], k[a:b], delta=1)) for q, a, b in _split(own.words, parts)]
-        return _table(rows + seats(own, part, np.minimum(own.count, 1)))
+        tables = np.minimum(own.count, 1)
+        return _table(by_word(own, part, 1, own.words, own.per_word(tables), own.asked) + seats(own, part, tables))
 
     def seats(own, part, tables):
-        """Counts and tables of the contexts that are dealt over all owners, to whoever adds them up."""
+        """Customers and tables of the contexts that are dealt over all owners, to whoever adds them up."""
         if not len(own.hot):
             return []
         u, to = own.u[own.hot], owner_of(own.u[own.hot])
@@ -311,7 +387,7 @@ def language_model_scores(docs: DataFrame, modulus: int = 7, held: int = 2, sett
         return [(int(q), 4, part, K.pack(u[to == q], *(x[to == q] for x in mine))) for q in np.unique(to)]
 
     def sums_of_seats(table, part):
-        got = [(src, K.unpack(blob, 3)) for src, blob in requests(table, 4)]
+        got = [(src, K.unpack(blob, 3)) for src, blob in _read(table, 4)]
         if not got:
             return []
         u, place = np.unique(np.concatenate([x[0] for _, x in got]), return_inverse=True)
@@ -319,203 +395,147 @@ def language_model_scores(docs: DataFrame, modulus: int = 7, held: int = 2, sett
         return [(src, 6, part, K.pack(x[0], *(y[np.searchsorted(u, x[0])] for y in sums))) for src, x in got]
 
     def told_seats(table) -> dict:
-        """(count, tables) over all owners of each context that is dealt over them."""
+        """(customers, tables) over all owners of each context that is dealt over them."""
         found = {}
-        for _, blob in requests(table, 6):
+        for _, blob in _read(table, 6):
             u, n, t = K.unpack(blob, 3)
             found |= dict(zip(u.tolist(), zip(n.tolist(), t.tolist(), strict=True), strict=True))
         return found
 
-    def requests(table, kind):
-        return sorted(((src.as_py(), blob.as_buffer()) for k, src, blob in zip(table["kind"], table["src"], table["blob"], strict=True) if k.as_py() == kind), key=lambda x: x[0])
-
-    class Words:
-        """Totals over the requests that one owner of words received."""
-
-        def __init__(self, table) -> None:
-            got = [(src, K.unpack(blob, 3, delta=1)) for src, blob in requests(table, 1)]
-            self.src = [src for src, _ in got]
-            self.sizes = [len(x[0]) for _, x in got]
-            self.words, self.place = np.unique(np.concatenate([x[0] for _, x in got]) if got else np.zeros(0, K.U), return_inverse=True)
-            self.c, self.k = (self.total(np.concatenate([x[j] for _, x in got]) if got else np.zeros(0)) for j in (1, 2))
-
-        def total(self, x):
-            return np.bincount(self.place, weights=x, minlength=len(self.words)).astype(np.int64)
-
-        def answers(self, kind, part, head, *columns):
-            head, at, rows = K.pack(*[np.array([h]) for h in head]), 0, []
-            for src, n in zip(self.src, self.sizes, strict=True):
-                some = self.place[at : at + n]
-                at += n
-                rows.append((src, kind, part, len(head).to_bytes(4, "little") + head + K.pack(*(c[some] for c in columns))))
-            return rows
-
-    # Every owner of words answers every owner of contexts, if only with its totals.
-    def silent(rows, kind, part, head):
-        head = K.pack(*[np.array([h]) for h in head])
-        told = {r[0] for r in rows}
-        return rows + [(p, kind, part, len(head).to_bytes(4, "little") + head) for p in range(parts) if p not in told]
-
-    # The first tables: one for each pair, and one of the parent's for each word.
+    # What an owner of words tells after each sweep: masses of the words asked for; at last, customers and tables of all
+    # words in each sample.  Rows of kind 11 are the samples so far, which come back to it.
+    def seated(sweep, part, words, customers, vocabulary, tables, past):
+        t = chain.words(sweep, words.words, customers, vocabulary, tables) if sweep else np.minimum(customers, 1)
+        past = [*past, customers, t] if sweep > s.burn_in else past
+        if sweep == s.burn_in + s.samples:
+            head = [int((words.total(words.pairs) > 0).sum()), *(int(x.sum()) for x in past)]
+            return words.answers(part, parts, head, past, False)
+        mass = chain.mass(sweep, words.words, customers, t)
+        head = [int((customers > 0).sum()), int(t.sum()), int(np.rint(mass.astype(np.float64) * MASS_UNIT).sum())]
+        rows = words.answers(part, parts, head, [mass.view(np.uint32)], True)
+        return [*rows, (part, 11, part, _bundle(*past))] if past else rows
+
     def count(key, table):
         part = key[0].as_py()
-        words = Words(table)
-        t = np.minimum(words.k, 1)
-        head = (words.c.sum(), (words.c > 0).sum(), words.k.sum(), t.sum())
-        rows = silent(words.answers(2, part, head, words.k, t), 2, part, head)
-        return _table(rows + sums_of_seats(table, part) + [(part, 11, part, K.pack(t))])
-
-    def heard(table, kind, heads, columns):
-        """Sums of the heads, and the columns in the order of the words."""
-        total, got = np.zeros(heads, dtype=np.int64), []
-        for _, blob in requests(table, kind):
-            blob = memoryview(blob)
-            n = int.from_bytes(blob[:4], "little")
-            total += np.array([int(x[0]) for x in K.unpack(blob[4 : 4 + n], heads)])
-            if len(blob) > 4 + n:
-                got.append(K.unpack(blob[4 + n :], columns))
-        return total.tolist(), [np.concatenate([g[j] for g in got]).astype(np.int64) if got else np.zeros(0, np.int64) for j in range(columns)]
-
-    def parent_of(n1, t1, all_n, all_t, vocabulary):
-        return (n1 - s.discount1 * t1 + (s.strength1 + s.discount1 * all_t) / (vocabulary + 1)) / (s.strength1 + all_n)
-
-    def owner_of(u):
-        return (K.mix(u ^ K.U(0x1F83D9ABFB41BD6B)) % K.U(parts)).astype(np.int64)
-
-    # Rows of kind 10 are the seatings of an owner of contexts, which come back to it with the answers: tables of the
-    # pairs seen more than once in the present sweep; and for each sample before its tables, the parent's customers and
-    # tables by word, their totals, and the tables of contexts dealt over all owners.
-    def state(own, answers):
-        """Which pairs are seen more than once, how their tables become those of all pairs, and the columns kept."""
-        several = own.count > 1
+        words = _Words(table)
+        return _table(seated(0, part, words, words.total(words.pairs), 0, 0, []) + sums_of_seats(table, part))
 
-        def opened(x):
-            tables = np.minimum(own.count, 1)
-            tables[several] = x
-            return tables
-
-        kept = [_unbundle(blob) for _, blob in requests(answers, 10)]
-        return several, opened, kept[0] if kept else [np.ones(several.sum(), np.int64)]
+    # Rows of kind 10 are the seatings of an owner of contexts, which come back to it: tables of the drawn pairs in the
+    # present sweep; and of each sample before, those and the tables of contexts dealt over all owners.
+    def state(own, answers):
+        kept = [_unbundle(blob) for _, blob in _read(answers, 10)]
+        return kept[0] if kept else [np.ones(len(own.drawn), np.int64)]
 
     def sampler(sweep):
         def sample(key, table, answers):
             part = key[0].as_py()
+            if part < 0:
+                return _table([])
             own = _Owned(table, hot)
-            (_, v, all_n, all_t), (n1, t1) = heard(answers, 2, 4, 2)
-            # the parent's seating goes back to its owner, with the tables of all owners
-            rows = [(part, 12, part, K.pack(np.array([v]), np.array([all_t])))] + [(part, 11, part, bytes(b)) for _, b in requests(answers, 11)]
+            (v, all_t, all_mass), (mass,) = _heard(answers, 3, 1)
+            rows = [(part, 12, part, K.pack(np.array([v]), np.array([all_t])))] + [(part, 11, part, bytes(b)) for _, b in _read(answers, 11)]
             if own.empty:
                 return _table(rows)
-            several, opened, kept = state(own, answers)
-            before = opened(kept[0])
+            now, *past = state(own, answers)
+            before = own.opened(now)
             total = own.over_all(own.per_context(before), told_seats(answers), 1)
-            # what was drawn in the sweep before is a sample, if burn-in was over
-            past = kept[1:] + ([kept[0], n1, t1, np.array([all_n, all_t]), total[own.hot]] if sweep > s.burn_in else [])
-            tables = own.sweep(before, total, parent_of(n1, t1, all_n, all_t, v), s, np.random.default_rng([s.seed, part, sweep]))
-            x = own.per_word(tables)
-            rows += [(q, 3, part, K.pack(x[a:b])) for q, a, b in _split(own.words, parts)]
-            return _table(rows + seats(own, part, tables) + [(part, 10, part, _bundle(tables[several], *past))])
+            if sweep - 1 > s.burn_in:
+                past += [now, total[own.hot]]
+            base = np.zeros(len(own.words))
+            base[own.asked] = chain.base(sweep - 1, mass.astype(np.uint32).view(np.float32), all_mass, v, all_t)
+            u, w, some = own.u_of[own.drawn], own.w_of[own.drawn], own.drawn
+            drawn = chain.pairs(sweep, own.u[u], own.words[w], own.count[some], total[u], base[w])
+            tables = own.opened(drawn)
+            edges = K.partition_edges(own.words[own.asked], parts)
+            x = own.per_word(tables)[own.asked]
+            rows += [(q, 3, part, K.pack(x[a:b])) for q, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
+            return _table(rows + seats(own, part, tables) + [(part, 10, part, _bundle(drawn, *past))])
 
         return sample
 
     def seater(sweep):
         def parents(key, asked, told):
             part = key[0].as_py()
-            words = Words(asked)
-            got = [K.unpack(blob, 1)[0] for _, blob in requests(told, 3)]
-            n = words.total(np.concatenate(got)) if got else np.zeros(0, np.int64)
-            known, all_t = (int(x[0]) for x in K.unpack(requests(told, 12)[0][1], 2))
-            (t,) = K.unpack(requests(told, 11)[0][1], 1) if requests(told, 11) else (np.zeros(0, np.int64),)
-            t = t.astype(np.int64)
-            t = np.clip(t, np.minimum(n, 1), n)
-            base = s.strength1 + s.discount1 * np.maximum(all_t - t, 0)
-            t = seat(n, t, base.astype(float), np.full(len(n), 1 / (known + 1)), s.discount1, _stirling(s.discount1), np.random.default_rng([s.seed, 1, part, sweep]))
-            head = (words.c.sum(), (words.c > 0).sum(), n.sum(), t.sum())
-            last = (words.c,) if sweep == s.burn_in + s.samples - 1 else ()
-            rows = silent(words.answers(2, part, head, n, t, *last), 2, part, head)
-            rows += [(part, 10, part, bytes(b)) for _, b in requests(told, 10)]
-            return _table(rows + sums_of_seats(told, part) + [(part, 11, part, K.pack(t))])
+            words = _Words(asked)
+            v, all_t = (int(x[0]) for x in K.unpack(_read(told, 12)[0][1], 2))
+            past = [x for _, blob in _read(told, 11) for x in _unbundle(blob)]
+            rows = seated(sweep, part, words, words.customers(told), v, all_t, past)
+            rows += [(part, 10, part, bytes(b)) for _, b in _read(told, 10)]
+            return _table(rows + sums_of_seats(told, part))
 
         return parents
 
     def score(key, table, answers):
         part = key[0].as_py()
-        own = _Owned(table, hot)
-        if own.empty:
+        own = None if part < 0 else _Owned(table, hot)
+        if own is None or own.empty:
             return _table([])
-        (n, v, all_n, all_t), (n1, t1, c) = heard(answers, 2, 4, 3)
-        _, opened, kept = state(own, answers)
+        (v, *totals), columns = _heard(answers, 1 + 2 * s.samples, 2 * s.samples)
         told = told_seats(answers)
+        now, *past = state(own, answers)
+        past += [now, own.over_all(own.per_context(own.opened(now)), told, 1)[own.hot]]
         seen = own.over_all(own.per_context(own.count), told, 0)
-        past = kept[1:] + [kept[0], n1, t1, np.array([all_n, all_t]), own.over_all(own.per_context(opened(kept[0])), told, 1)[own.hot]]
         p = np.zeros(len(own.count))
-        for j in range(0, len(past), 5):
-            x, n1, t1, (all_n, all_t), dealt = past[j : j + 5]
-            t, parent = opened(x), parent_of(n1, t1, all_n, all_t, v)
-            open_tables = own.per_context(t)
-            open_tables[own.hot] = dealt
-            spare = ((s.strength2 + s.discount2 * open_tables) / (s.strength2 + seen))[own.u_of]
-            p += (own.count - s.discount2 * t) / (s.strength2 + seen)[own.u_of] + spare * parent[own.w_of]
+        for j in range(0, 2 * s.samples, 2):
+            tables = own.opened(past[j])
+            total = own.per_context(tables)
+            total[own.hot] = past[j + 1]
+            parent = chain.parent(columns[j].astype(np.int64), columns[j + 1].astype(np.int64), *totals[j : j + 2], v)
+            p += chain.predictive(own.count, tables, seen[own.u_of], total[own.u_of], parent[own.w_of])
         cost = np.rint(-np.log10(np.minimum(p / s.samples, 1)) * SCORE_UNIT).astype(np.int64)
-        rows, at, count = [], 0, c[own.w_of]
-        head = K.pack(np.array([n]), np.array([v]))
-        for src, size in own.chunks:
+        rows, at = [], 0
+        for src, size, starts in own.chunks:
             some = own.place[at : at + size]
             at += size
-            home = int(K.mix(np.array([src], dtype=np.uint64))[0] % K.U(parts))
-            rows.append((home, 7, (src << 20) | part, len(head).to_bytes(4, "little") + head + K.pack(cost[some], count[some])))
+            rows.append((home_of(src), 7, src, _bundle(np.array([part, v]), cost[some], seen[own.u_of[some[starts]]])))
         return _table(rows)
 
     out_names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    out_schema = pa.schema(list(zip(out_names, [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()], strict=True)))
 
-    def home(key, table, answers):
-        streams = requests(table, 9)
+    def home(key, streams, answers):
         by_source: dict[int, list] = {}
-        for src, blob in requests(answers, 7):
-            by_source.setdefault(src >> 20, []).append(blob)
+        for src, blob in _read(answers, 7):
+            by_source.setdefault(src, []).append(_unbundle(blob))
         tables = []
-        for src, blob in streams:
-            blob = memoryview(blob)
-            size = int.from_bytes(blob[:4], "little")
-            number, flags, tokens = K.unpack(blob[4 : 4 + size], 3)
-            (pair,) = K.unpack(blob[4 + size :], 1)
-            cost, count = [], []
-            for b in by_source[src]:
-                b = memoryview(b)
-                size = int.from_bytes(b[:4], "little")
-                n, v = (int(x[0]) for x in K.unpack(b[4 : 4 + size], 2))
-                x, y = K.unpack(b[4 + size :], 2)
-                cost.append(x)
-                count.append(y)
-            cost, count = np.concatenate(cost).astype(np.int64), np.concatenate(count).astype(np.int64)
-            pair, tokens = pair.astype(np.int64), tokens.astype(np.int64)
-            first = np.cumsum(tokens) - tokens
-            known = (flags & K.U(1)) == 0
-            logs = np.log10(count + 1.0)[pair]
+        for src, blob in _read(streams, 9):
+            number, flags, counts, index, (start, end, m), owner = _unbundle(blob)
+            pair, place, first = _numbered(counts, index, int(start), int(end), int(m))
+            order = np.argsort(owner, kind="stable")
+            cost, seen = np.empty(len(pair), np.int64), np.zeros(m, np.int64)
+            answer = sorted(by_source.pop(src), key=lambda x: int(x[0][0]))
+            cost[order] = np.concatenate([x[1] for x in answer])
+            context = (pair // m)[order]
+            seen[context[K.runs(owner[order], context)[:-1]]] = np.concatenate([x[2] for x in answer])
+            # a word is seen as often as its context is, the end as often as the start
+            seen[end] = seen[start]
+            seen, v = seen[(pair % m)[place]], int(answer[0][0][1])
+            tokens, unknown = counts + 1, (flags & 1) == 0
             tables.append(
                 pa.table(
                     [
-                        pa.array(K.unzigzag(number), mask=known),
-                        pa.array((flags & K.U(2)) == 0, mask=known),
+                        pa.array(K.unzigzag(number), mask=unknown),
+                        pa.array((flags & 2) == 0, mask=unknown),
                         pa.array(tokens),
-                        pa.array(np.add.reduceat((count[pair] > 0).astype(np.int64), first)),
-                        pa.array(np.full(len(tokens), n)),
-                        pa.array(np.add.reduceat(logs, first) - tokens * np.log10(n + v + 1.0)),
-                        pa.array(np.add.reduceat(cost[pair], first) / -float(SCORE_UNIT)),
+                        pa.array(np.add.reduceat((seen > 0).astype(np.int64), first)),
+                        pa.array(np.full(len(tokens), trained)),
+                        pa.array(np.add.reduceat(np.log10(seen + 1.0), first) - tokens * np.log10(trained + v + 1.0)),
+                        pa.array(np.add.reduceat(cost[place], first) / -float(SCORE_UNIT)),
                     ],
-                    names=out_names,
+                    schema=out_schema,
                 )
             )
         return pa.concat_tables(tables) if tables else out_schema.empty_table()
 
-    out_schema = pa.schema(list(zip(out_names, [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()], strict=True)))
     by = lambda df: df.groupBy("part")
-    pairs = docs.mapInArrow(deal, _SCHEMA)
+    everything = docs.mapInArrow(deal, _SCHEMA).repartition("part")
+    # not deterministic for the optimiser, so that it stays behind the shuffle, which all steps share
+    only = lambda condition: everything.filter(F.when(F.rand() < 0, F.lit(False)).otherwise(condition))
+    pairs, streams = only(F.col("part") >= 0), only(F.col("part") < 0)
     asked = by(pairs).applyInArrow(ask, _SCHEMA)
-    counted = by(asked).applyInArrow(count, _SCHEMA)
-    told = counted
-    for sweep in range(s.burn_in + s.samples):
+    told = by(asked).applyInArrow(count, _SCHEMA)
+    for sweep in range(1, s.burn_in + s.samples + 1):
         drawn = by(pairs).cogroup(by(told)).applyInArrow(sampler(sweep), _SCHEMA)
         told = by(asked).cogroup(by(drawn)).applyInArrow(seater(sweep), _SCHEMA)
     scored = by(pairs).cogroup(by(told)).applyInArrow(score, _SCHEMA)
-    return by(pairs).cogroup(by(scored)).applyInArrow(home, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return by(streams).cogroup(by(scored)).applyInArrow(home, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

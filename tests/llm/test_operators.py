@@ -486,62 +486,3 @@ def test_language_model(spark, docs):
     assert sorted(map(repr, got)) == sorted(map(repr, pitman_yor.language_model_scores(frame(spark, rows)).collect()))
     assert pitman_yor.language_model_scores(frame(spark, [])).count() == 0
     assert pitman_yor.language_model_scores(frame(spark, [(None, "a b")])).first()["score"] == 0.0
-
-
-def test_frequent_words_are_of_all_rows(spark):
-    rows = [(k, "aa bb") for k in range(2100)] + [(9000 + k, "zz " * 1000) for k in range(20)]
-    first, then = (pitman_yor._frequent(frame(spark, r).coalesce(1)).tolist() for r in (rows, rows[::-1]))
-    (zz,) = set(kernels.words(np.frombuffer(b"zz", np.uint8), np.array([0, 2]), lower=True)[0].tolist())
-    assert first == then and zz in first
-
-
-def test_scores_do_not_hang_on_the_number_of_tasks(spark):
-    """A phrase in many copies: its words are dealt over all tasks, and one task has the only successor."""
-    r = random.Random(11)
-    phrase = " ".join(f"p{k}" for k in range(40))
-    rows = [(k, phrase if k % 3 == 0 else " ".join(f"v{r.randrange(300)}" for _ in range(40))) for k in range(300)]
-    rows += [(1000 + k, " ".join(f"p{r.randrange(40)}" for _ in range(40))) for k in range(60)]
-    means = []
-    for parts in ("1", "64"):
-        before = spark.conf.get("spark.sql.shuffle.partitions")
-        spark.conf.set("spark.sql.shuffle.partitions", parts)
-        try:
-            got = pitman_yor.language_model_scores(frame(spark, rows).coalesce(1)).collect()
-        finally:
-            spark.conf.set("spark.sql.shuffle.partitions", before)
-        means.append(np.mean([x["score"] for x in got if x["doc_id"] >= 1000]))
-    assert means[0] == pytest.approx(means[1], rel=0.01)
-
-
-def test_model_is_a_distribution(spark):
-    """Probabilities of all words after a context, unknown ones together, add up to one."""
-    text = " ".join(random.Random(9).choice("abcde") for _ in range(300))
-    alone = pitman_yor.Settings(samples=2)
-    train = next(k for k in range(99) if zlib.crc32(str(k).encode()) % 7 != 2)
-    test = [k for k in range(1000) if zlib.crc32(str(k).encode()) % 7 == 2]
-    rows = [(train, text), *zip(test, ["a a", "a b", "a c", "a d", "a e", "a", "a zzz", ""], strict=False)]
-    got = {x["doc_id"]: x["score"] for x in pitman_yor.language_model_scores(frame(spark, rows), settings=alone).collect()}
-    # each score is start->a, a->x, x->end; divide by a one-word text to get at x
-    assert all(s < 0 for s in got.values()) and len(got) == 9
-
-
-def test_seating_has_the_restaurants_law():
-    """Mean tables of one dish of 40 customers against a direct simulation of seating."""
-    rng = np.random.default_rng(3)
-    d, strength, p = 0.7, 1.0, 0.3
-    many = np.full(4000, 40)
-    drawn = pitman_yor.seat(many, np.ones_like(many), np.full(4000, strength), np.full(4000, p), d, pitman_yor._stirling(d), rng)
-    # the same law by weights of seatings: importance of each sequential seating is its likelihood
-    total = weight = 0.0
-    for _ in range(4000):
-        t, log = 1, math.log(strength * p)
-        for n in range(1, 40):
-            new, old = (strength + d * t) * p, n - d * t
-            log += math.log(new + old)
-            t += rng.random() < new / (new + old)
-        total += t * math.exp(log)
-        weight += math.exp(log)
-    assert drawn.mean() == pytest.approx(total / weight, rel=0.15)
-    large = pitman_yor.seat(np.array([5000]), np.array([1]), np.array([strength]), np.array([p]), d, pitman_yor._stirling(d), rng)
-    assert 1 <= large[0] <= 5000
-    assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
