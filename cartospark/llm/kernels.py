@@ -82,23 +82,45 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
         lo = hi
 
 
+def _pieces(buf: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``limit`` bytes that end after white space, so that no word is cut; a longer word is a range of its own."""
+    lo, n = 0, len(buf)
+    while lo < n:
+        hi = min(lo + limit, n)
+        if hi < n:
+            gaps = np.flatnonzero(_SPACE[buf[lo:hi]])
+            while not len(gaps) and hi < n:
+                gaps = hi - lo + np.flatnonzero(_SPACE[buf[hi : hi + limit]])[:1]
+                hi += limit
+            hi = lo + int(gaps[-1]) + 1 if len(gaps) else n
+        yield lo, hi
+        lo = hi
+
+
 def words(buf: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes, words per text, first byte and end of each word."""
-    n, texts = len(buf), len(offsets) - 1
-    if not n:
+    """Word hashes, words per text, first byte and end of each word.
+
+    Long texts are worked off in pieces, so that beside the results memory does not grow with a text.
+    """
+    found = [(hashed, lo + first, lo + end) for lo, hi in _pieces(buf, 2 * SLICE_BYTES) for hashed, first, end in [_words(buf[lo:hi], offsets[(offsets >= lo) & (offsets <= hi)] - lo, lower)]]
+    if not found:
         none = np.zeros(0, dtype=np.int64)
-        return np.zeros(0, dtype=U), np.zeros(texts, dtype=np.int64), none, none
+        return np.zeros(0, dtype=U), np.zeros(len(offsets) - 1, dtype=np.int64), none, none
+    hashed, first, end = (x[0] if len(x) == 1 else np.concatenate(x) for x in zip(*found, strict=True))
+    return hashed, np.diff(np.searchsorted(first, offsets)), first, end
+
+
+def _words(buf: np.ndarray, edges: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = len(buf)
     space = _SPACE[buf]
     edge = np.zeros(n + 1, dtype=bool)
-    edge[offsets] = True
+    edge[edges] = True
     before = np.concatenate(([True], space[:-1])) | edge[:-1]
     after = np.concatenate((space[1:], [True])) | edge[1:]
     first, end = np.flatnonzero(~space & before), np.flatnonzero(~space & after) + 1
     up, down = _byte_powers.get(n + 1)
     total = np.concatenate((np.zeros(1, U), np.cumsum((_LOWER if lower else _BYTES)[buf] * up[:n])))
-    hashed = mix((total[end] - total[first]) * down[first] + (end - first).astype(U))
-    counts = np.diff(np.searchsorted(first, offsets))
-    return hashed, counts, first, end
+    return mix((total[end] - total[first]) * down[first] + (end - first).astype(U)), first, end
 
 
 def window_hashes(word: np.ndarray, size: int) -> np.ndarray:

@@ -10,14 +10,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .exprs import SPACES
+
 _written: set[str] = set()
 
 
 def folder(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir.  Where none is set, as in tests, a folder of our own is set."""
+    """The session's spark.checkpoint.dir.  Where none is set, a folder of our own is set, on one machine alone: an error on a cluster."""
     context = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not found:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the whole cluster shares")
         found = tempfile.mkdtemp(prefix="cartospark-")
         context.setCheckpointDir(found)
     return found
@@ -84,8 +88,9 @@ def dealt(df: DataFrame, column: str, parts: int) -> DataFrame:
 
 
 def one_row_per_id(docs: DataFrame) -> DataFrame:
-    """docs with a row for each doc_id: of rows that share one, the first by text (nulls first), then the rest.
+    """docs with a row for each doc_id: of rows that share one, that with the longest text, then the first by text, then the rest.
 
+    No text is given up for a null or a blank one.
     Rows with a null id stay as they are.  Ids are counted first, from their column alone; rows are
     only regrouped for ids that do repeat.
     """
@@ -93,5 +98,5 @@ def one_row_per_id(docs: DataFrame) -> DataFrame:
     if twice.isEmpty():
         return docs
     rest = ["text", *(c for c in docs.columns if c not in ("doc_id", "text"))]
-    first = docs.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row")).select("doc_id", "row.*")
+    first = docs.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*rest), F.struct(-F.coalesce(F.length(F.btrim("text", F.lit(SPACES))), F.lit(-1)), *rest)).alias("row")).select("doc_id", "row.*")
     return docs.join(twice, "doc_id", "left_anti").select("doc_id", *rest).union(first).select(*docs.columns)
