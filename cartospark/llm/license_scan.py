@@ -35,6 +35,8 @@ WINDOW = 64
 BANDS = 32
 #: Similarity from which on the bands find a pair.
 BANDED = 0.25
+#: Distinct shingles of all templates that one scan takes; they are constants of its plan.
+MOST_SHINGLES = 200_000
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\u2018\u2019\u201c\u201d\u00ab\u00bb\u2013\u2014\u2026\u00a9\u00b7\u2022"
 
 
@@ -96,7 +98,10 @@ def scan(docs: DataFrame, templates: dict | None = None, threshold: float = 0.75
     table = written(_template_table(spark, templates or TEMPLATES, size), "templates")
     sets = [set(r["known"]) for r in table.collect()]
     # SQL text, as a column for each of the thousands of literals takes long to make
-    known = ", ".join(f"{h}L" for h in sorted(set().union(*sets)))
+    every = set().union(*sets)
+    if len(every) > MOST_SHINGLES:
+        raise ValueError(f"the templates have {len(every)} shingles, {MOST_SHINGLES} fit one scan: scan for some of them at a time")
+    known = ", ".join(f"{h}L" for h in sorted(every))
     text = F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     bare = F.filter(F.transform(exprs.words(text), lambda w, i: F.struct(i.alias("at"), F.btrim(w, F.lit(PUNCTUATION)).alias("w"))), lambda x: x["w"] != "")
     # i counts the words that are not punctuation, at counts all
