@@ -11,7 +11,8 @@ text's bytes alone.
 
 Defined cases: null and empty texts have difference 0 and the curve's value there; without labels of both
 classes the score is the share of label 1 among the labels, or 0.5; label rows with null are ignored; of
-conflicting labels of one document the lower holds; rows repeat freely.
+conflicting labels of one document the lower holds; rows repeat freely, and of those that share a sampled id the first by
+text is learnt from.
 """
 
 from __future__ import annotations
@@ -100,7 +101,8 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0) ->
         sample = docs.sparkSession.createDataFrame([(r[0], r[1], r[2]) for r in picked], "doc_id long, quality int, at long")
         joined = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("text IS NOT NULL").join(F.broadcast(sample), "doc_id")
         held_bytes = {0: 0, 1: 0}
-        for row in joined.orderBy("at", "doc_id", "text").toLocalIterator():  # bounded: SAMPLE_ROWS a class
+        one = joined.groupBy("at", "doc_id", "quality").agg(F.min("text").alias("text"))
+        for row in one.orderBy("at", "doc_id").toLocalIterator():  # SAMPLE_ROWS a class at most
             q = row["quality"]
             size = len(row["text"].encode())
             if held_bytes[q] + size <= SAMPLE_BYTES:  # texts that do not fit are passed over, and use nothing up
