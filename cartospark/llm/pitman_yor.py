@@ -528,10 +528,9 @@ def language_model_scores(docs: DataFrame, modulus: int = 7, held: int = 2, sett
         return pa.concat_tables(tables) if tables else out_schema.empty_table()
 
     by = lambda df: df.groupBy("part")
-    everything = docs.mapInArrow(deal, _SCHEMA).repartition("part")
-    # not deterministic for the optimiser, so that it stays behind the shuffle, which all steps share
-    only = lambda condition: everything.filter(F.when(F.rand() < 0, F.lit(False)).otherwise(condition))
-    pairs, streams = only(F.col("part") >= 0), only(F.col("part") < 0)
+    # what is observed stays below the filters: one shuffle, of which each step reads its rows
+    dealt = docs.mapInArrow(deal, _SCHEMA).repartition("part").observe("dealt", F.count(F.lit(1)).alias("rows"))
+    pairs, streams = dealt.filter("part >= 0"), dealt.filter("part < 0")
     asked = by(pairs).applyInArrow(ask, _SCHEMA)
     told = by(asked).applyInArrow(count, _SCHEMA)
     for sweep in range(1, s.burn_in + s.samples + 1):
