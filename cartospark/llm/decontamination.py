@@ -9,6 +9,8 @@ shingles, weight being how often a shingle occurs.
 Windows are not fingerprinted one by one over the whole corpus: a similarity of t needs
 ``t / (1 + t)`` of both bags together in common, so a window with fewer positions that carry a shingle of
 any item of its length cannot qualify, and running counts of such positions leave that out without loss.
+A repeated shingle can move a fingerprint beyond the radius, so a window with one, and an item with one, are verified without
+the index if they share a shingle.
 
 The items are a query set: they are read to the driver and processed in blocks of bounded size against
 all rows; a larger benchmark means more blocks, never a larger broadcast.
@@ -34,6 +36,8 @@ from . import kernels as K
 BLOCK_ITEMS, BLOCK_WORDS = 20_000, 2_000_000
 #: At similarity 0.75 two fingerprints are 11 bits apart, with a standard deviation of 3.
 RADIUS = 23
+#: Blocks of windows whose neighbours are kept in memory, for each of the four.
+MOST_CLOSE = 512
 _FILTER_BITS = 20
 
 
@@ -69,22 +73,43 @@ class Items:
             keys, where = np.unique(value, return_inverse=True)
             order = np.argsort(where, kind="stable")
             self.blocks.append((keys, order, np.searchsorted(where[order], np.arange(len(keys) + 1))))
-        # shingles of the items of each length
-        self.classes = {int(n): np.unique(np.concatenate([bags[i] for i in np.flatnonzero(self.lengths == n)])) for n in np.unique(self.lengths)}
+        # shingles of the items of each length, and which items have them
+        self.classes, self.having = {}, {}
+        for n in np.unique(self.lengths):
+            same = np.flatnonzero(self.lengths == n)
+            pairs = np.concatenate([self.bags[i][0] for i in same]), np.repeat(same, [len(self.bags[i][0]) for i in same])
+            order = np.argsort(pairs[0], kind="stable")
+            self.having[int(n)] = (pairs[0][order], pairs[1][order])
+            self.classes[int(n)] = np.unique(pairs[0])
+        # a repeated shingle weighs so much in a fingerprint that the radius promises nothing
+        self.repeats = np.array([c.max() > 1 for _, c in self.bags])
+        self.repeating = set(self.lengths[self.repeats].tolist())
+        self.close: list[dict[int, np.ndarray]] = [{} for _ in range(4)]
         every = np.unique(np.concatenate(list(self.classes.values())))
         self.maybe = np.zeros(1 << _FILTER_BITS, dtype=bool)
         self.maybe[(every >> K.U(64 - _FILTER_BITS)).astype(np.int64)] = True
         self.every = every
 
     def near(self, fingerprint: np.uint64) -> np.ndarray:
-        """Items whose fingerprint is within the radius, through the multi-index."""
+        """Items whose fingerprint is within the radius, through the multi-index; a block's neighbours are looked for once."""
         found = []
         for k, (keys, order, at) in enumerate(self.blocks):
-            close = np.flatnonzero(np.bitwise_count(keys ^ ((fingerprint >> K.U(16 * k)) & K.U(0xFFFF))) <= self.radius // 4)
-            found += [order[at[c] : at[c + 1]] for c in close]
-        some = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+            own = int(fingerprint >> K.U(16 * k)) & 0xFFFF
+            if own not in self.close[k]:
+                close = np.flatnonzero(np.bitwise_count(keys ^ K.U(own)) <= self.radius // 4)
+                self.close[k][own] = np.concatenate([order[at[c] : at[c + 1]] for c in close]) if len(close) else np.zeros(0, np.int64)
+            found.append(self.close[k][own])
+            if len(self.close[k]) > MOST_CLOSE:
+                self.close[k].clear()
+        some = np.unique(np.concatenate(found))
         return some[np.bitwise_count(self.prints[some] ^ fingerprint) <= self.radius]
 
+    def sharing(self, have: np.ndarray, n: int) -> np.ndarray:
+        """Items of n words that share a shingle with these."""
+        shingles, items = self.having[n]
+        lo, hi = np.searchsorted(shingles, have), np.searchsorted(shingles, have, "right")
+        return np.unique(np.concatenate([items[a:b] for a, b in zip(lo, hi, strict=True)]))
+
     def matches(self, buf: np.ndarray, offsets: np.ndarray) -> list[tuple[int, object, int, float]]:
         """(text, item, first word, similarity) for one slice of texts."""
         if not self.ids:
@@ -125,11 +150,16 @@ class Items:
         lo, hi = int(starts[0]), int(starts[-1]) + bag
         prints = _fingerprints(own[lo:hi], starts - lo, starts - lo + bag)
         for start, fingerprint in zip(starts.tolist(), prints, strict=True):
-            some = self.near(fingerprint)
-            some = some[self.lengths[some] == n]
-            if not len(some):
-                continue
             have, often = np.unique(own[start : start + bag], return_counts=True)
+            # without the index only where shingles repeat, in the window or in an item that shares one
+            if often.max() > 1:
+                some = self.sharing(have, n)
+            else:
+                some = self.near(fingerprint)
+                some = some[self.lengths[some] == n]
+                if n in self.repeating:
+                    other = self.sharing(have, n)
+                    some = np.union1d(some, other[self.repeats[other]])
             for i in some.tolist():
                 theirs, their_often = self.bags[i]
                 _, x, y = np.intersect1d(have, theirs, assume_unique=True, return_indices=True)
