@@ -9,7 +9,7 @@ frequency, then hash; the most frequent n-grams of all (a list of bounded length
    match and are only counted.  A packed shuffle by document returns the repeated ones, in order.
 3. Documents with equal sets form one class; only its smallest id goes on.
 4. Prefix n-grams are joined.  Length filter, positional filter and suffix
-   filter (Hamming distance over hash blocks of the rest) prune pairs; each remaining pair is verified
+   filter (Hamming distance over hash blocks, a bound for whole sets and so for their suffixes) prune pairs; each remaining pair is verified
    once by intersecting the full lists of repeated n-grams, which is exact since others are unshared.
    To avoid all pairs within a group of copies, each n-gram first links its documents to one leader;
    later joins only pair documents that are not yet in one component.
@@ -39,6 +39,10 @@ FLUSH = 2_000_000
 LOCAL_FREQUENT = 48
 #: At most so many frequent n-grams are broadcast (8 bytes each).
 MOST_FREQUENT = 1 << 16
+#: Documents of a frequent n-gram that one share of its pairs compares with all.
+SHARE = 512
+#: Ids (8 bytes each) that are broadcast to drop their rows; more are shuffled.
+MOST_IDS = 2_000_000
 #: Blocks of the hash space that the suffix filter counts.
 BLOCKS = 32
 _HOT = np.uint64(1 << 62)
@@ -278,10 +282,13 @@ def _linked(cand: DataFrame, threshold: Fraction) -> DataFrame:
     found = written(components(links), "found")
     # all that is left: pairs within an n-gram whose documents are not in one component yet
     owned = prefix.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id")).drop("component")
-    mixed = owned.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("tok")
-    owned = written(owned.join(mixed, "tok", "left_semi"), "owned")
-    side = lambda c: owned.select("tok", F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"), F.col("pos").alias(f"p{c}"), F.col("comp").alias(f"c{c}"))
-    rest = side("a").join(side("b"), "tok").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _possible(threshold))
+    mixed = owned.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).filter("lo < hi")
+    # the documents of a frequent n-gram are split: one side by hash over its shares, the other copied to each
+    shares = F.ceil(F.col("m") / SHARE).cast("int").alias("shares")
+    owned = written(owned.join(mixed.select("tok", shares), "tok"), "owned")
+    side = lambda c, share: owned.select("tok", share.alias("share"), F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"), F.col("pos").alias(f"p{c}"), F.col("comp").alias(f"c{c}"))
+    one, every = F.pmod(F.xxhash64("doc_id"), F.col("shares")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1))
+    rest = side("a", one).join(side("b", every), ["tok", "share"]).filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _possible(threshold))
     rest = rest.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
     more = written(links.union(_links(cand, rest, threshold)), "links")
     out = written(components(more), "found")
@@ -312,5 +319,5 @@ def ngram_join(docs: DataFrame, threshold: Fraction = Fraction(3, 4), size: int
 def one_of_each_group(docs: DataFrame, threshold: Fraction = Fraction(3, 4), size: int = 5) -> DataFrame:
     """The rows of docs, all columns, whose id is the smallest of its component; null ids stay."""
     docs = one_row_per_id(docs)
-    gone = ngram_join(docs, threshold, size).filter("doc_id <> component_id").select("doc_id")
-    return docs.join(written(gone, "copies").hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
+    gone = written(ngram_join(docs, threshold, size).filter("doc_id <> component_id").select("doc_id"), "copies")
+    return docs.join(gone.hint("broadcast" if gone.count() <= MOST_IDS else "shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
