@@ -86,15 +86,15 @@ def _bin(distance: Column) -> Column:
     return F.floor(F.log2(distance + 2.0**-20) * 32).cast("long")
 
 
-def _joined(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+def _joined(rows: DataFrame, estimates: DataFrame, how: str = "left") -> DataFrame:
     """rows with the estimates of their group: a copy of a row for each of several."""
     own = estimates.withColumnsRenamed({"lang": "_lang", "grp": "_grp"})
     match = F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("grp") == F.col("_grp"))
     if estimates.count() <= MOST_GROUPS:
-        return rows.join(F.broadcast(own), match, "left").drop("_lang", "_grp")
+        return rows.join(F.broadcast(own), match, how).drop("_lang", "_grp")
     rows = rows.withColumn("_salt", F.pmod(F.xxhash64("x0", "x1", "x2"), F.lit(SALTS)))
     own = own.withColumn("_to", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumn("_to", F.col("_to").cast("long"))
-    return rows.join(own, match & (F.col("_salt") == F.col("_to")), "left").drop("_lang", "_grp", "_salt", "_to")
+    return rows.join(own, match & (F.col("_salt") == F.col("_to")), how).drop("_lang", "_grp", "_salt", "_to")
 
 
 def _solved(rows: DataFrame) -> DataFrame:
@@ -144,7 +144,7 @@ def _quartiles(rows: DataFrame) -> DataFrame:
 def _starts(rows: DataFrame) -> DataFrame:
     """(lang, grp, start, m.., l.., det): rough robust estimates to begin from, for groups with enough rows."""
     quartiles = written(_quartiles(rows).filter(F.col("rows") >= MIN_GROUP).drop("rows"), "quartiles")
-    scaled = _joined(rows, quartiles).filter("c0 IS NOT NULL")
+    scaled = _joined(rows, quartiles, "inner")
     scaled = scaled.withColumns({f"u{i}": (F.col(f"x{i}") - F.col(f"c{i}")) / F.col(f"q{i}") for i in range(DIMENSIONS)})
     norm = F.sqrt(_squares([f"u{i}" for i in range(DIMENSIONS)]))
     forms = {"sign": lambda i: F.coalesce(F.try_divide(F.col(f"u{i}"), norm), F.lit(0.0)), "tanh": lambda i: F.tanh(f"u{i}")}
@@ -168,7 +168,7 @@ def _concentrated(rows: DataFrame, now: DataFrame) -> DataFrame:
     """(lang, grp, start, far, m.., l.., det): estimates of the SHARE of each group's rows nearest to the present ones; far: the largest
     distance among these."""
     keys = [*_GROUP, "start"]
-    near = _solved(_joined(rows, now.drop("det"))).withColumn("distance", _squares(_DISTANCE)).filter("distance IS NOT NULL")
+    near = _solved(_joined(rows, now.drop("det"), "inner")).withColumn("distance", _squares(_DISTANCE))
     sums = {"n": F.count("*"), **{f"s{i}": F.sum(f"x{i}") for i in range(DIMENSIONS)}, **{f"p{i}{j}": F.sum(F.col(f"x{i}") * F.col(f"x{j}")) for i, j in _PAIRS}}
     bins = near.withColumn("bin", _bin(F.col("distance"))).groupBy(*keys, "bin").agg(*(c.alias(k) for k, c in sums.items()))
     up = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
@@ -188,11 +188,12 @@ def estimates(rows: DataFrame) -> DataFrame:
     met, active = [now], now
     # determinants fall by LEAST_FALL at least, and are bounded from below by the floors: this ends
     while not active.isEmpty():
-        new = _concentrated(rows, active.drop("far")).join(
-            active.select(F.col("lang").alias("_lang"), F.col("grp").alias("_grp"), F.col("start").alias("_start"), F.col("det").alias("_det")),
-            F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("grp") == F.col("_grp")) & (F.col("start") == F.col("_start")),
-        )
-        active = written(new.filter(F.col("det") < F.col("_det") - LEAST_FALL).select(*now.columns), "estimate")
+        # written before it is filtered: a filter on the determinant would be pushed into all that makes it, over and over
+        new = written(_concentrated(rows, active.drop("far")), "estimate")
+        before = active.select(F.col("lang").alias("_lang"), F.col("grp").alias("_grp"), F.col("start").alias("_start"), F.col("det").alias("_det"))
+        match = F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("grp") == F.col("_grp")) & (F.col("start") == F.col("_start"))
+        active = written(new.join(before, match).filter(F.col("det") < F.col("_det") - LEAST_FALL).select(*now.columns), "active")
+        dropped(new)
         met.append(active)
     every = met[0]
     for more in met[1:]:
@@ -212,6 +213,9 @@ def judged(docs: DataFrame, min_words: int = 50, max_repeat: int = 50, cutoff: f
     vectors = vectors.withColumn("grp", F.when(F.col("source").isNull(), F.lit("null")).otherwise(F.col("grp")))
     sizes = written(vectors.filter("n_words > 0").groupBy(*_GROUP).agg(F.count("*").alias("_rows")), "sizes")
     vectors = _joined(vectors, sizes).withColumn("grp", F.when(F.coalesce("_rows", F.lit(0)) < MIN_GROUP, F.lit("few")).otherwise(F.col("grp"))).drop("_rows")
+    # every step reads these numbers, and plans them as a scan
+    vectors = written(vectors, "vectors")
+    dropped(stats, sizes)
     passed = vectors.filter("n_words > 0").select(*_GROUP, *(f"x{i}" for i in range(DIMENSIONS)))
     final = estimates(passed)
     rest = _squares(_DISTANCE[1:])
