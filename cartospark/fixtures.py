@@ -101,13 +101,18 @@ _VIEWS = {
         UNION ALL SELECT 100, 0, 0, CAST(w + 4 AS DOUBLE), CAST(s AS DOUBLE) FROM {fx_box} WHERE ext = 23 AND ring = 0
         UNION ALL SELECT 100, 0, 1, CAST(e AS DOUBLE), CAST(s AS DOUBLE) FROM {fx_box} WHERE ext = 23 AND ring = 0
         UNION ALL SELECT 100, 0, 2, CAST(e AS DOUBLE), CAST(n AS DOUBLE) FROM {fx_box} WHERE ext = 23 AND ring = 0
-        UNION ALL SELECT 100, 0, 3, CAST(w + 4 AS DOUBLE), CAST(n AS DOUBLE) FROM {fx_box} WHERE ext = 23 AND ring = 0""",
+        UNION ALL SELECT 100, 0, 3, CAST(w + 4 AS DOUBLE), CAST(n AS DOUBLE) FROM {fx_box} WHERE ext = 23 AND ring = 0
+        UNION ALL SELECT 101, 0, 0, CAST(w AS DOUBLE), CAST(s + 3 AS DOUBLE) FROM {fx_box} WHERE ext = 23 AND ring = 0
+        UNION ALL SELECT 101, 0, 1, CAST(e + 5 AS DOUBLE), CAST(s + 3 AS DOUBLE) FROM {fx_box} WHERE ext = 23 AND ring = 0
+        UNION ALL SELECT 101, 0, 2, CAST(e + 5 AS DOUBLE), CAST(n + 9 AS DOUBLE) FROM {fx_box} WHERE ext = 23 AND ring = 0
+        UNION ALL SELECT 101, 0, 3, CAST(w AS DOUBLE), CAST(n + 9 AS DOUBLE) FROM {fx_box} WHERE ext = 23 AND ring = 0""",
     "fx_shape": """
         SELECT ext AS shape_id, region_id, continent, bytes,
                CASE ext WHEN 24 THEN 'HeaderBox' WHEN 23 THEN 'Supplement' ELSE 'Polygon' END AS kind,
                CASE WHEN ext = 23 THEN 100 END AS parent
         FROM {fx_extract}
-        UNION ALL SELECT 100, 'ancestor', continent, bytes, 'Ancestor', CAST(NULL AS INT) FROM {fx_extract} WHERE ext = 23""",
+        UNION ALL SELECT 100, 'ancestor', continent, bytes, 'Ancestor', 101 FROM {fx_extract} WHERE ext = 23
+        UNION ALL SELECT 101, 'above', continent, bytes, 'Ancestor', CAST(NULL AS INT) FROM {fx_extract} WHERE ext = 23""",
     "fx_land": """
         SELECT r_regionkey AS rec, 'land' AS kind, -101.0 + 12 * r_regionkey AS w, -31.0 AS s, -91.0 + 12 * r_regionkey AS e, 31.0 AS n FROM {region}
         UNION ALL

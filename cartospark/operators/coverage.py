@@ -8,12 +8,17 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 
 
+#: Degrees of latitude by which edges and points meet.
+BAND = 0.25
+
+
 def edges(rings: DataFrame, keys: list[str]) -> DataFrame:
     """(keys.., ring, x1, y1, x2, y2) of rings (keys.., ring, pos, lon, lat): each vertex with the next, the last with the first."""
-    order = Window.partitionBy(*keys, "ring").orderBy("pos")
+    keys = [*(k for k in keys if k != "ring"), "ring"]
+    order = Window.partitionBy(*keys).orderBy("pos")
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     nxt = lambda c: F.coalesce(F.lead(c).over(order), F.first(c).over(whole))
-    return rings.select(*keys, "ring", F.col("lon").alias("x1"), F.col("lat").alias("y1"), nxt("lon").alias("x2"), nxt("lat").alias("y2"))
+    return rings.select(*keys, F.col("lon").alias("x1"), F.col("lat").alias("y1"), nxt("lon").alias("x2"), nxt("lat").alias("y2"))
 
 
 def crosses(x: Column, y: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
@@ -25,17 +30,29 @@ def crosses(x: Column, y: Column, x1: Column, y1: Column, x2: Column, y2: Column
 def point_in_polygon(points: DataFrame, rings: DataFrame, key: str = "ext") -> DataFrame:
     """(key, id) of points (id, lon, lat) inside an odd number of the rings of a shape.
 
-    Points and boxes of shapes meet on one-degree cells, an equi-join; the edges of the shape then decide
-    by the parity of crossings over all rings, which is that of the rings the point is in.
+    Points and boxes of shapes meet on one-degree cells, an equi-join; the parity of crossings
+    over all rings then decides, which is that of the rings the point is in.
     """
     box = rings.groupBy(key).agg(F.min("lon").alias("w"), F.max("lon").alias("e"), F.min("lat").alias("s"), F.max("lat").alias("n"))
     down = lambda c: F.floor(c).cast("int")
     cells = box.withColumn("cx", F.explode(F.sequence(down("w"), down("e")))).withColumn("cy", F.explode(F.sequence(down("s"), down("n"))))
     near = points.withColumns({"cx": down("lon"), "cy": down("lat")}).join(cells, ["cx", "cy"])
     near = near.filter(F.col("lon").between(F.col("w"), F.col("e")) & F.col("lat").between(F.col("s"), F.col("n")))
-    outline = edges(rings, [key]).filter("y1 <> y2").groupBy(key).agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
-    count = F.size(F.filter("edges", lambda g: crosses(F.col("lon"), F.col("lat"), g["x1"], g["y1"], g["x2"], g["y2"])))
-    return near.select(key, "id", "lon", "lat").join(outline, key).filter(count % 2 == 1).select(key, "id")
+    return enclosed(near.select(key, "id", "lon", "lat"), rings, [key], ["id"]).select(key, "id")
+
+
+def enclosed(points: DataFrame, rings: DataFrame, keys: list[str], ident: list[str]) -> DataFrame:
+    """points (keys.., ident.., lon, lat) inside an odd number of the rings with their keys; ident tells points of the same keys apart.
+
+    Edges and points meet on keys and a band of latitude, so an outline of any length spreads over bands
+    and no row holds more than an edge; crossings are counted before they meet again by point.
+    """
+    band = lambda c: F.floor(F.col(c) / BAND).cast("int")
+    at = edges(rings, keys).filter("y1 <> y2").withColumn("band", F.explode(F.sequence(F.floor(F.least("y1", "y2") / BAND).cast("int"), F.floor(F.greatest("y1", "y2") / BAND).cast("int"))))
+    hits = points.withColumn("band", band("lat")).join(at, [*keys, "band"]).filter(crosses(*(F.col(c) for c in ("lon", "lat", "x1", "y1", "x2", "y2"))))
+    once = [c for c in ("lon", "lat") if c not in ident]
+    odd = hits.groupBy(*keys, *ident).agg((F.count("*") % 2).alias("odd"), *(F.first(c).alias(c) for c in once)).filter("odd = 1")
+    return odd.select(*keys, *ident, *once)
 
 
 def sample_grid(spark: SparkSession, step: float = S.GRID_STEP) -> DataFrame:
@@ -54,9 +71,7 @@ def ring_samples(rings: DataFrame, keys: list[str]) -> DataFrame:
         F.transform(F.sequence(F.lit(0), F.ceil((F.col(b) - F.col(a)) / F.col("step")).cast("int")), lambda i: F.col(a) + F.col("step") * (i + 0.5)), lambda c: c < F.col(b)
     )
     grid = box.withColumn("lat", F.explode(centres("s", "n"))).withColumn("lon", F.explode(centres("w", "e"))).select(*keys, "ring", "lon", "lat")
-    outline = edges(rings, keys).filter("y1 <> y2").groupBy(*keys, "ring").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
-    count = F.size(F.filter("edges", lambda g: crosses(F.col("lon"), F.col("lat"), g["x1"], g["y1"], g["x2"], g["y2"])))
-    return grid.join(outline, [*keys, "ring"]).filter(count % 2 == 1).select(*keys, "ring", "lon", "lat")
+    return enclosed(grid, rings, [*keys, "ring"], ["lon", "lat"]).select(*keys, "ring", "lon", "lat")
 
 
 def island_samples(rings: DataFrame, keys: list[str]) -> DataFrame:
@@ -148,21 +163,32 @@ def roll_up(nodes: DataFrame, steps: int = 16) -> DataFrame:
     return state.select("id", F.col("up").alias("root"), "depth")
 
 
-def effective(inside: DataFrame, shapes: DataFrame, depth: int = 16) -> DataFrame:
+def ancestors(shapes: DataFrame, depth: int = 16) -> list[tuple[int, int]]:
+    """(shape, ancestor) of shapes (shape_id, parent): known ancestors only, up to so many steps; there is a row for each extract."""
+    up = {r["shape_id"]: r["parent"] for r in shapes.select("shape_id", "parent").collect()}
+    found = []
+    for shape in up:
+        at = up[shape]
+        for _ in range(depth):
+            if at not in up:
+                break
+            found.append((shape, at))
+            at = up[at]
+    return sorted(set(found))
+
+
+def effective(inside: DataFrame, shapes: DataFrame) -> DataFrame:
     """(shape_id, id): points inside a shape and inside all its ancestors that are known."""
-    parent = shapes.select("shape_id", "parent")
-    frontier, out = parent.filter("parent IS NOT NULL"), inside
-    known = shapes.select(F.col("shape_id").alias("parent"), F.col("parent").alias("above"))
-    for _ in range(depth):
-        if frontier.isEmpty():
-            break
-        # a pair (shape, ancestor): its points must be the ancestor's too; an unknown ancestor asks nothing
-        pairs = frontier.join(known, "parent")
-        own = out.join(pairs.select("shape_id", "parent"), "shape_id")
-        theirs = inside.select(F.col("shape_id").alias("parent"), "id")
-        out = out.join(own.join(theirs, ["parent", "id"], "left_anti").select("shape_id", "id"), ["shape_id", "id"], "left_anti")
-        frontier = pairs.filter("above IS NOT NULL").select("shape_id", F.col("above").alias("parent"))
-    return out
+    pairs = ancestors(shapes)
+    if not pairs:
+        return inside.select("shape_id", "id")
+    spark = inside.sparkSession
+    above = F.broadcast(spark.createDataFrame(pairs, "shape_id int, above int"))
+    needs = F.broadcast(spark.createDataFrame([(s, sum(s == t for t, _ in pairs)) for s in sorted({s for s, _ in pairs})], "shape_id int, needs int"))
+    # a point of a shape with ancestors stays if as many of them have it as there are
+    held = inside.select(F.col("shape_id").alias("above"), "id").join(above, "above").select("shape_id", "id", F.lit(1).alias("up"))
+    each = inside.select("shape_id", "id", F.lit(0).alias("up")).union(held).groupBy("shape_id", "id").agg(F.sum("up").alias("ups"), F.count_if(F.col("up") == 0).alias("own"))
+    return each.join(needs, "shape_id", "left").filter((F.col("own") > 0) & (F.col("ups") == F.coalesce("needs", F.lit(0)))).select("shape_id", "id")
 
 
 def orphans(points: DataFrame, inside: DataFrame, shapes: DataFrame) -> DataFrame:

@@ -20,11 +20,15 @@ def kept_nodes(nodes: DataFrame) -> DataFrame:
 
 
 def kept_relations(relations: DataFrame, members: DataFrame) -> DataFrame:
-    """Relations with wanted tags and at least one way member; members (relation_id, pos, way_id, role) in order."""
+    """Relations with wanted tags and at least one way member; members (relation_id, pos, way_id, role) in order.
+
+    With a column ext, members are those of each region's copy.
+    """
     kept = relations.withColumn("tags", T.filtered(F.col("tags"))).filter(T.relation_wanted(F.col("tags")))
-    own = members.groupBy(F.col("relation_id").alias("id")).agg(F.array_sort(F.collect_list(F.struct("pos", "way_id", F.coalesce("role", F.lit("")).alias("role")))).alias("members"))
+    keys = [c for c in members.columns if c == "ext"] + ["id"]
+    own = members.withColumnRenamed("relation_id", "id").groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "way_id", F.coalesce("role", F.lit("")).alias("role")))).alias("members"))
     own = own.withColumn("members", F.transform("members", lambda m: F.struct(m["way_id"].alias("way_id"), m["role"].alias("role"))))
-    return kept.join(own, "id")
+    return kept.join(own, keys)
 
 
 def kept_ways(ways: DataFrame, relations: DataFrame) -> DataFrame:

@@ -55,11 +55,12 @@ def projection(run: DataFrame, spent_total: float) -> DataFrame:
     return each.select("seq", "baked", "left", F.round(F.when(checked, spent * F.col("left") / F.col("baked")), 6).alias("need"), checked.alias("checked"))
 
 
-def uncovered_land(points: DataFrame) -> DataFrame:
-    """(cx, cy, n, lon, lat): points by one-degree cell, the smallest standing for its cell."""
+def uncovered_land(points: DataFrame, most: int | None = None) -> DataFrame:
+    """(cx, cy, n, lon, lat): points by one-degree cell, the smallest standing for its cell; all cells, or the most populous."""
     at = points.withColumns({"cx": F.floor("lon").cast("int"), "cy": F.floor("lat").cast("int")})
     first = F.min(F.struct("lon", "lat"))
-    return at.groupBy("cx", "cy").agg(F.count("*").alias("n"), first.alias("p")).select("cx", "cy", "n", "p.lon", "p.lat").orderBy(F.desc("n"), "lon", "lat")
+    cells = at.groupBy("cx", "cy").agg(F.count("*").alias("n"), first.alias("p")).select("cx", "cy", "n", "p.lon", "p.lat").orderBy(F.desc("n"), "lon", "lat")
+    return cells if most is None else cells.limit(most)
 
 
 def plan_regions(candidates: DataFrame, cover: Cover, points: DataFrame, shapes: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ the classes, whose number is that of distinct overlaps of extracts, not of point
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from heapq import heapify, heappop, heappush
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +59,19 @@ class Cover:
                     gain[c] = gain.get(c, 0) + n
         return min(gain, key=lambda c: (self.cost[c] / gain[c], self.rank[c]), default=None)
 
+    def _greedy(self) -> None:
+        """Add the cheapest candidate until nothing is gained.  Gains only fall, so one that is still worth its old price is the best."""
+        price = lambda c: self.cost[c] / gain if (gain := sum(self.classes[k][1] for k in self.of[c] if not self.times[k])) else None
+        heap = [(p, self.rank[c], c) for c in self.cost if c not in self.chosen and (p := price(c)) is not None]
+        heapify(heap)
+        while heap:
+            old, rank, c = heappop(heap)
+            new = price(c)
+            if new == old:
+                self._add(c)
+            elif new is not None:
+                heappush(heap, (new, rank, c))
+
     def _by_size(self) -> list[int]:
         return sorted(self.chosen, key=lambda c: -self.cost[c])
 
@@ -88,8 +102,7 @@ class Cover:
     def solve(self) -> list[int]:
         for c in sorted(self.forced, key=self.rank.get):
             self._add(c)
-        while (best := self._cheapest({k for k, t in enumerate(self.times) if not t}, set(self.chosen))) is not None:
-            self._add(best)
+        self._greedy()
         self._prune()
         self._swap()
         self._prune()
@@ -102,9 +115,12 @@ class Cover:
 
 def solve(candidates: DataFrame, shapes: DataFrame) -> Cover:
     """candidates (shape_id, forced, id) and shapes (shape_id, bytes): the cover, solved."""
+    candidates = candidates.persist()
     ids = candidates.groupBy("shape_id").agg(F.bool_or("forced").alias("forced")).join(shapes.select("shape_id", "bytes"), "shape_id").collect()
     found = [(tuple(r["members"]), r["n"]) for r in classes(candidates).limit(MOST_CLASSES + 1).collect()]
-    assert len(found) <= MOST_CLASSES
+    candidates.unpersist()
+    if len(found) > MOST_CLASSES:
+        raise ValueError(f"more than {MOST_CLASSES} overlaps of extracts: plan continent by continent")
     cover = Cover({r["shape_id"]: r["bytes"] for r in ids}, {r["shape_id"] for r in ids if r["forced"]}, sorted(found))
     cover.solve()
     return cover

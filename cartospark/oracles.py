@@ -134,7 +134,13 @@ PARTS = {
             SELECT e.ext, e.ring, p.id, count(*) FILTER (WHERE (y1 > lat) <> (y2 > lat) AND lon < (x1 - x2) * (lat - y2) / CASE WHEN y1 = y2 THEN NULL ELSE y1 - y2 END + x2) % 2 AS odd
             FROM edge e CROSS JOIN fx_point p GROUP BY e.ext, e.ring, p.id) x
         GROUP BY ext, id HAVING sum(odd) % 2 = 1""",
-    "effective": "SELECT ext AS shape_id, id FROM inside i WHERE ext <> 23 OR EXISTS (SELECT 1 FROM inside a WHERE a.ext = 100 AND a.id = i.id)",
+    "above": """
+        SELECT shape_id, parent FROM fx_shape WHERE parent IS NOT NULL
+        UNION SELECT a.shape_id, s.parent FROM above a JOIN fx_shape s ON s.shape_id = a.parent WHERE s.parent IS NOT NULL""",
+    "within": "SELECT a.shape_id, i.id, count(*) AS n FROM above a JOIN inside i ON i.ext = a.parent GROUP BY a.shape_id, i.id",
+    "effective": """
+        SELECT i.ext AS shape_id, i.id FROM inside i LEFT JOIN (SELECT shape_id, count(*) AS n FROM above GROUP BY shape_id) b ON b.shape_id = i.ext
+        LEFT JOIN within w ON w.shape_id = i.ext AND w.id = i.id WHERE coalesce(b.n, 0) = coalesce(w.n, 0)""",
     "orphan": """
         SELECT id FROM fx_point WHERE id NOT IN (
             SELECT id FROM effective JOIN fx_shape USING (shape_id) WHERE kind = 'Polygon' AND bytes <= 3000000000)""",
@@ -156,12 +162,79 @@ def sql(select: str, given: tuple[str, ...] = ()) -> str:
             done[name] = ""
             need(body.replace("walk AS (", "", 1) if name == "walk" else body)
             done.pop(name)
-            done[name] = body.strip() if name == "walk" else f"{name} AS ({body})"
+            # what several views read is computed once
+            done[name] = body.strip() if name == "walk" else f"{name} AS {'MATERIALIZED ' * (name in ('inside', 'effective', 'orphan'))}({body})"
 
     need(select)
     return f"WITH RECURSIVE {', '.join(done.values())} {select}" if done else select
 
 
+# The cover, a choice a row: recursion over the list of chosen extracts, with classes of points and candidates as lists of one row.
+_candidate = """
+        SELECT s.shape_id, s.kind = 'HeaderBox' AS forced, s.bytes, e.id FROM fx_shape s
+        LEFT JOIN effective e ON e.shape_id = s.shape_id AND (s.kind = 'Polygon' OR e.id IN (SELECT id FROM orphan))
+        WHERE s.bytes <= 3000000000 AND s.kind <> 'Ancestor' AND (e.id IS NOT NULL OR s.kind = 'HeaderBox')"""
+
+
+def _cheapest(open_: str, barred: str) -> str:
+    """The candidate with the fewest bytes for each point of the open classes, the first of equals; null if none gains."""
+    gain = f"list_sum(list_transform(list_filter({open_}, lambda x: list_contains(x.m, c.c)), lambda x: x.n))"
+    priced = f"list_transform(list_filter(cands, lambda c: NOT list_contains({barred}, c.c)), lambda c: struct_pack(r := CAST(c.b AS DOUBLE) / {gain}, c := c.c))"
+    return f"list_sort(list_filter({priced}, lambda p: p.r IS NOT NULL))[1].c"
+
+
+def _pruned(name: str, source: str) -> str:
+    """Largest first, an extract goes if others cover all that it does."""
+    by_size = "list_transform(list_sort(list_transform(chosen, lambda c, i: struct_pack(b := -list_filter(cands, lambda y: y.c = c)[1].b, i := i, c := c))), lambda o: o.c)"
+    spare = "len(list_filter(cls, lambda x: list_contains(x.m, sized[k + 1]) AND len(list_intersect(x.m, chosen)) = 1)) = 0"
+    return f"""
+    {name} AS (
+        SELECT 0 AS k, chosen, {by_size} AS sized FROM {source}, board
+        UNION ALL
+        SELECT k + 1, CASE WHEN NOT list_contains(forced, sized[k + 1]) AND {spare} THEN list_filter(chosen, lambda c: c <> sized[k + 1]) ELSE chosen END, sized
+        FROM {name}, board WHERE k < len(sized))"""
+
+
+def _last(name: str) -> str:
+    return f"(SELECT chosen FROM {name} ORDER BY k DESC LIMIT 1)"
+
+
+_uncovered = "list_filter(cls, lambda x: NOT list_has_any(x.m, chosen))"
+_left = "list_filter(cls, lambda x: list_contains(x.m, sized[i]) AND len(list_intersect(x.m, chosen)) = 1 AND NOT list_has_any(x.m, picks))"
+_cover = f"""
+    candidate AS MATERIALIZED ({_candidate}),
+    board AS MATERIALIZED (
+        SELECT (SELECT coalesce(list(struct_pack(m := m, n := n) ORDER BY m), []) FROM (SELECT m, CAST(count(*) AS BIGINT) AS n FROM (SELECT id, list(shape_id ORDER BY shape_id) AS m FROM candidate WHERE id IS NOT NULL GROUP BY id) a GROUP BY m) b) AS cls,
+               (SELECT list(struct_pack(c := shape_id, b := bytes) ORDER BY shape_id) FROM (SELECT DISTINCT shape_id, bytes FROM candidate) a) AS cands,
+               (SELECT coalesce(list(shape_id ORDER BY shape_id), []) FROM (SELECT DISTINCT shape_id FROM candidate WHERE forced) a) AS forced),
+    greedy AS (
+        SELECT 0 AS k, forced AS chosen FROM board
+        UNION ALL
+        SELECT k + 1, list_append(chosen, best) FROM (SELECT k, chosen, {_cheapest(_uncovered, 'chosen')} AS best FROM greedy, board) x WHERE best IS NOT NULL),
+    {_pruned('once', f'(SELECT {_last("greedy")} AS chosen) g')},
+    swap AS (
+        SELECT 0 AS k, 0 AS i, FALSE AS trying, CAST([] AS INT[]) AS picks, CAST(0 AS BIGINT) AS spent, chosen, list_transform(list_sort(list_transform(chosen, lambda c, j: struct_pack(b := -list_filter(cands, lambda y: y.c = c)[1].b, j := j, c := c))), lambda o: o.c) AS sized
+        FROM (SELECT {_last('once')} AS chosen) g, board
+        UNION ALL
+        SELECT k + 1, CASE WHEN trying THEN i ELSE i + 1 END,
+               CASE WHEN trying THEN NOT whole AND other IS NOT NULL AND spent + price < own ELSE NOT list_contains(forced, sized[i + 1]) AND list_contains(chosen, sized[i + 1]) END,
+               CASE WHEN trying AND NOT whole AND other IS NOT NULL AND spent + price < own THEN list_append(picks, other) WHEN trying THEN picks ELSE CAST([] AS INT[]) END,
+               CASE WHEN trying AND other IS NOT NULL AND NOT whole THEN spent + price WHEN trying THEN spent ELSE 0 END,
+               CASE WHEN trying AND whole AND spent < own THEN list_concat(list_filter(chosen, lambda c: c <> sized[i]), picks) ELSE chosen END, sized
+        FROM (SELECT *, list_filter(cands, lambda y: y.c = other)[1].b AS price, list_filter(cands, lambda y: y.c = sized[i])[1].b AS own FROM (
+            SELECT s.*, board.*, len({_left}) = 0 AS whole, CASE WHEN trying THEN {_cheapest(_left, 'list_append(list_concat(chosen, picks), sized[i])')} END AS other FROM swap s, board) x) y
+        WHERE trying OR i < len(sized)),
+    {_pruned('twice', f'(SELECT {_last("swap")} AS chosen) g')},
+    cover AS MATERIALIZED (SELECT unnest(chosen) AS shape_id, unnest(range(len(chosen))) AS place FROM (SELECT {_last('twice')} AS chosen) g)"""
+
+_set_cover = """SELECT shape_id, CAST(place AS INT) AS place, kind = 'HeaderBox' AS forced, region_id, bytes FROM cover JOIN fx_shape USING (shape_id)"""
+_plan_regions = """
+    SELECT shape_id, region_id, continent, bytes, kind <> 'Supplement' AS whole, CAST(row_number() OVER (PARTITION BY shape_id ORDER BY w, s) - 1 AS INT) AS box, w, s, e, n
+    FROM cover JOIN fx_shape USING (shape_id) LEFT JOIN (
+        SELECT DISTINCT shape_id AS boxed, round(greatest(floor(lon) - 0.3, -180.0), 6) AS w, round(greatest(floor(lat) - 0.3, -90.0), 6) AS s, round(least(floor(lon) + 1.3, 180.0), 6) AS e, round(least(floor(lat) + 1.3, 90.0), 6) AS n
+        FROM (SELECT id, min(shape_id) AS shape_id FROM candidate JOIN cover USING (shape_id) WHERE id IS NOT NULL GROUP BY id HAVING count(*) = 1) a JOIN fx_point USING (id)) b
+    ON kind = 'Supplement' AND boxed = shape_id"""
+
 _hilbert = """
     hil AS (
         SELECT x, y, CAST(x AS BIGINT) AS px, CAST(y AS BIGINT) AS py, CAST(4096 AS BIGINT) AS s, CAST(0 AS BIGINT) AS d FROM spot
@@ -329,6 +402,13 @@ ORACLES = {
         """SELECT CAST(floor(lon) AS INT) AS cx, CAST(floor(lat) AS INT) AS cy, count(*) AS n, min(lon) AS lon, arg_min(lat, struct_pack(a := lon, b := lat)) AS lat
         FROM fx_point WHERE id NOT IN (SELECT id FROM inside) GROUP BY 1, 2"""
     ),
+    "most_uncovered": sql(
+        """SELECT CAST(floor(lon) AS INT) AS cx, CAST(floor(lat) AS INT) AS cy, count(*) AS n, min(lon) AS lon, arg_min(lat, struct_pack(a := lon, b := lat)) AS lat
+        FROM fx_point WHERE id NOT IN (SELECT id FROM inside) GROUP BY 1, 2 ORDER BY n DESC, lon, lat LIMIT 25"""
+    ),
+    "set_cover": _with(_set_cover, _cover),
+    "plan_regions": _with(_plan_regions, _cover),
+    "archive_cells": sql(f"SELECT DISTINCT CAST((y // 128) * 64 + x // 128 AS INT) AS cell FROM (SELECT {tile_x('lon')} AS x, {tile_y('lat')} AS y FROM fx_point) t"),
     "plan_summary": sql(
         """SELECT (SELECT count(*) FROM fx_point) AS points, (SELECT count(DISTINCT id) FROM inside WHERE ext < 100) AS covered, (SELECT count(*) FROM fx_point) - (SELECT count(DISTINCT id) FROM inside WHERE ext < 100) AS uncovered,
         CAST(sum(bytes) AS BIGINT) AS total_bytes, count(*) AS extracts FROM fx_extract"""

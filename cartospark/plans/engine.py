@@ -7,12 +7,10 @@ it wrote is overwritten when the region is baked again.
 
 from __future__ import annotations
 
-import json
-import os
-import shutil
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +21,7 @@ from ..functions import tilemath as M
 from ..operators import coverage, manifest, merge, setcover
 from ..sources import pmtiles
 from .bake import Bake, assembled
+from .files import Files
 
 ATTRIBUTION = "© OpenStreetMap contributors"
 LEAST_FREE = 15_000_000_000
@@ -34,8 +33,7 @@ class DeadlineError(RuntimeError):
 
 @dataclass
 class Engine:
-    """work: the store and what is done; out: archives and their index.  Both may be any folder Spark reads and writes;
-    archives themselves are single files that the driver writes."""
+    """work: the store and what is done; out: archives and their index.  Both may be any folder Spark reads and writes."""
 
     spark: SparkSession
     work: str
@@ -43,6 +41,10 @@ class Engine:
     least_free: int = LEAST_FREE
     clock: Callable[[], float] = time.time
 
+    @cached_property
+    def files(self) -> Files:
+        return Files(self.spark)
+
     # -- plan ------------------------------------------------------------------------------------
 
     def plan(self, points: DataFrame, rings: DataFrame, shapes: DataFrame, keep: list[str] | None = None, path: str | None = None) -> DataFrame:
@@ -51,8 +53,8 @@ class Engine:
         keep: regions of a published plan, chosen in any case; what is added then is clipped.
         """
         raw = coverage.point_in_polygon(points, rings).withColumnRenamed("ext", "shape_id")
-        inside = coverage.effective(raw, shapes).persist()
-        candidates = coverage.cover_candidates(points, inside, shapes, keep).persist()
+        inside = self._kept("inside", coverage.effective(raw, shapes))
+        candidates = self._kept("candidates", coverage.cover_candidates(points, inside, shapes, keep))
         cover = setcover.solve(candidates, shapes)
         regions = manifest.plan_regions(candidates, cover, points, shapes, keep)
         covered = candidates.filter(F.col("id").isNotNull() & F.col("shape_id").isin(cover.chosen)).select("id").distinct()
@@ -64,32 +66,36 @@ class Engine:
             "zoom": S.ZOOM, "regions": rows, "total_bytes": sum(r["bytes"] for r in rows), "land_points": total,
             "uncovered_points": sum(c[2] for c in cells), "covered_points": total, "uncovered_land": cells,
         }
-        self._write(path or f"{self.work}/plan.json", found)
-        inside.unpersist()
-        candidates.unpersist()
+        self.files.write_json(path or f"{self.work}/plan.json", found)
+        self.files.delete(f"{self.work}/planning")
         return self.spark.createDataFrame([tuple(r.values()) for r in rows], "shape_id int, region_id string, continent string, bytes long, clip array<array<double>>")
 
+    def _kept(self, name: str, df: DataFrame) -> DataFrame:
+        """df as a table of the plan under way: lineage ends here, and a lost executor costs a read."""
+        path = f"{self.work}/planning/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def load_plan(self, path: str | None = None) -> DataFrame:
-        rows = self._read(path or f"{self.work}/plan.json")["regions"]
+        rows = self.files.read_json(path or f"{self.work}/plan.json")["regions"]
         return self.spark.createDataFrame([tuple(r[k] for k in ("shape_id", "region_id", "continent", "bytes", "clip")) for r in rows], "shape_id int, region_id string, continent string, bytes long, clip array<array<double>>")
 
     # -- run -------------------------------------------------------------------------------------
 
     def run(self, plan: DataFrame, inputs: Callable[[DataFrame], Bake], only: list[str] | None = None, finish_by: float | None = None) -> list[str]:
-        """Bake what is to do, region by region in run order; publish a continent after its last region.
+        """Bake what is to do, of all regions or only some, in run order; publish a continent once all its regions are baked.
 
         inputs(regions) gives the dataflow of some regions (ext, region_id, continent, bytes, clip, seq).
         """
         ordered = merge.run_order(plan.withColumn("ext", F.col("shape_id")))
-        if only is not None:
-            ordered = ordered.filter(F.col("region_id").isin(only))
-        todo = manifest.todo(ordered.withColumn("region", F.col("region_id")), self.done(), self.finalized(ordered)).orderBy("seq").collect()
-        every = ordered.select("region_id", "continent", "bytes").collect()
+        chosen = ordered if only is None else ordered.filter(F.col("region_id").isin(only))
+        todo = manifest.todo(chosen.withColumn("region", F.col("region_id")), self.done(), self.finalized(ordered)).orderBy("seq").collect()
         started, baked, left = self.clock(), 0, sum(r["bytes"] for r in todo)
         published = []
-        waiting: dict[str, int] = {}
-        for r in todo:
-            waiting[r["continent"]] = waiting.get(r["continent"], 0) + 1
+        finished = {r["region"] for r in self.done().select("region").collect()}
+        regions: dict[str, set] = {}
+        for r in ordered.select("region_id", "continent").collect():
+            regions.setdefault(r["continent"], set()).add(r["region_id"])
         for r in todo:
             self._check_space()
             self.bake(inputs(ordered.filter(F.col("region_id") == r["region_id"])), r)
@@ -98,9 +104,9 @@ class Engine:
                 need = (self.clock() - started) * left / baked
                 if self.clock() + need > finish_by:
                     raise DeadlineError(f"{left} bytes are left and need {need:.0f} s; the deadline is {finish_by - self.clock():.0f} s away")
-            waiting[r["continent"]] -= 1
-            if not waiting[r["continent"]]:
-                published.append(self.publish(plan, r["continent"], sorted(x["region_id"] for x in every if x["continent"] == r["continent"])))
+            finished.add(r["region_id"])
+            if regions[r["continent"]] <= finished:
+                published.append(self.publish(plan, r["continent"], sorted(regions[r["continent"]])))
         return [p for p in published if p]
 
     def bake(self, flow: Bake, region) -> None:
@@ -108,12 +114,20 @@ class Engine:
         where = {"continent": F.lit(region["continent"]), "region": F.lit(region["region_id"])}
         for name, df in (("chunk", flow.chunks().drop("ext")), ("record", flow.records().drop("ext"))):
             df.withColumns(where).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("continent", "region").parquet(f"{self.work}/store/{name}")
-        own = self.stored("chunk").filter(F.col("region") == region["region_id"])
-        counts = own.agg(F.count("*").alias("slices"), F.count_distinct("x", "y").alias("tiles")).first()
-        mark = [(region["region_id"], region["continent"], int(region["bytes"]), counts["slices"], counts["tiles"], stamp_of(self.clock()))]
-        done = self.spark.createDataFrame(mark, "region string, continent string, bytes long, slices long, tiles long, finished_at string")
+        counts = self._stored_sizes(region["continent"], region["region_id"])
+        mark = [(region["region_id"], region["continent"], int(region["bytes"]), *counts, stamp_of(self.clock()))]
+        done = self.spark.createDataFrame(mark, "region string, continent string, bytes long, slices long, tiles long, payload_bytes long, finished_at string")
         done.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("region").parquet(f"{self.work}/done")
 
+    def _stored_sizes(self, continent: str, region: str) -> tuple[int, int, int]:
+        """Of what a region has in the store: elements in tiles; tiles and records; and bytes of their payloads."""
+        own = lambda name: self.stored(name).filter((F.col("continent") == continent) & (F.col("region") == region))
+        elements = own("chunk").count()
+        tiles = assembled(own("chunk"), ["x", "y"]).select("nodes", "ways", "relations")
+        records = codec.with_payload(tiles.union(self._records(own("record").withColumn("seq", F.lit(0))).drop("relation_id")), S.SCRATCH_LEVEL)
+        sizes = records.agg(F.count("*"), F.coalesce(F.sum("raw_bytes"), F.lit(0))).first()
+        return elements, sizes[0], sizes[1]
+
     def stored(self, name: str) -> DataFrame:
         if name == "record":
             schema = "relation_id long, relation " + S.RELATION.simpleString() + ", way " + S.WAY.simpleString() + ", continent string, region string"
@@ -122,11 +136,11 @@ class Engine:
         return self._table(f"{self.work}/store/{name}", schema)
 
     def done(self) -> DataFrame:
-        return self._table(f"{self.work}/done", "continent string, bytes long, slices long, tiles long, finished_at string, region string")
+        return self._table(f"{self.work}/done", "continent string, bytes long, slices long, tiles long, payload_bytes long, finished_at string, region string")
 
     def finalized(self, plan: DataFrame) -> DataFrame:
         """Continents published with every region the plan has for them; a larger plan opens them again."""
-        marks = {c: set(r) for c, r in self._read(f"{self.work}/finalized.json", {}).items()}
+        marks = {c: set(r) for c, r in self.files.read_json(f"{self.work}/finalized.json", {}).items()}
         want: dict[str, set] = {}
         for r in plan.select("continent", "region_id").collect():
             want.setdefault(r["continent"], set()).add(r["region_id"])
@@ -143,7 +157,12 @@ class Engine:
     def whole_relations(self, plan: DataFrame, continent: str) -> DataFrame:
         """(relation_id, nodes, ways, relations): a continent's whole relations with their member ways."""
         order = merge.run_order(plan).select(F.col("region_id").alias("region"), "seq")
-        rows = self.stored("record").filter(F.col("continent") == continent).join(F.broadcast(order), "region").withColumn("way_id", F.col("way.id"))
+        return self._records(self.stored("record").filter(F.col("continent") == continent).join(F.broadcast(order), "region"))
+
+    @staticmethod
+    def _records(rows: DataFrame) -> DataFrame:
+        """(relation_id, nodes, ways, relations) of stored rows with seq; of copies the first counts."""
+        rows = rows.withColumn("way_id", F.col("way.id"))
         ways = merge.first_wins(rows.select("relation_id", "way_id", "way", "seq"), ["relation_id", "way_id"], "seq").groupBy("relation_id").agg(F.array_sort(F.collect_list(F.struct("way_id", "way"))).alias("w"))
         own = merge.first_wins(rows.select("relation_id", "relation", "seq"), ["relation_id"], "seq")
         none = F.array().cast(f"array<{S.NODE.simpleString()}>")
@@ -160,10 +179,8 @@ class Engine:
         records = codec.with_payload(self.whole_relations(plan, continent).withColumn("tile_id", F.col("relation_id") + S.RELATION_BASE))
         stamp = stamp_of(self.clock())
         file = f"{name or continent}-{stamp}.pmtiles"
-        os.makedirs(self.out, exist_ok=True)
         # tiles in Hilbert order, records after them: their ids lie above all of zoom 13
-        rows = (tuple(r) for df in (frames, records) for r in df.select("tile_id", "frame").repartitionByRange("tile_id").sortWithinPartitions("tile_id").toLocalIterator())
-        size = pmtiles.write(f"{self.out}/{file}", rows, {"attribution": ATTRIBUTION})
+        size = pmtiles.write(self.files, f"{self.out}/{file}", [frames, records], {"attribution": ATTRIBUTION})
         frames.unpersist()
         e = extent[0]
         entry = {
@@ -172,11 +189,11 @@ class Engine:
         }
         self._index(entry)
         if name is None:
-            marks = self._read(f"{self.work}/finalized.json", {})
+            marks = self.files.read_json(f"{self.work}/finalized.json", {})
             marks[continent] = sorted(set(marks.get(continent, [])) | set(regions or []))
-            self._write(f"{self.work}/finalized.json", marks)
+            self.files.write_json(f"{self.work}/finalized.json", marks)
             for table in ("chunk", "record"):
-                shutil.rmtree(f"{self.work}/store/{table}/continent={continent}", ignore_errors=True)
+                self.files.delete(f"{self.work}/store/{table}/continent={continent}")
         return file
 
     def finalize(self, plan: DataFrame) -> list[str]:
@@ -186,10 +203,10 @@ class Engine:
         return [f for f in (self.publish(plan, c, regions) for c, regions in by.items()) if f]
 
     def _index(self, entry: dict) -> None:
-        old = self._read(f"{self.work}/manifest.json", [])
+        old = self.files.read_json(f"{self.work}/manifest.json", [])
         entries = sorted([*(e for e in old if e["name"] != entry["name"]), entry], key=lambda e: e["name"])
-        self._write(f"{self.work}/manifest.json", entries)
-        self._write(f"{self.out}/archives.json", {"zoom": S.ZOOM, "format": "AOT2+zstd", "cell_zoom": S.CELL_ZOOM, "attribution": ATTRIBUTION, "archives": entries})
+        self.files.write_json(f"{self.work}/manifest.json", entries)
+        self.files.write_json(f"{self.out}/archives.json", {"zoom": S.ZOOM, "format": "AOT2+zstd", "cell_zoom": S.CELL_ZOOM, "attribution": ATTRIBUTION, "archives": entries})
 
     # -- the rest --------------------------------------------------------------------------------
 
@@ -200,11 +217,11 @@ class Engine:
         manifest.patch(named, listed, self.done()).count()
         own = Engine(self.spark, f"{self.work}/{name}", self.out, self.least_free, self.clock)
         flat = merge.run_order(plan).withColumn("ext", F.col("shape_id")).filter(F.col("region_id").isin(regions)).withColumn("continent", F.lit(name))
-        shutil.rmtree(own.work, ignore_errors=True)
+        self.files.delete(own.work)
         for r in flat.collect():
             own.bake(inputs(flat.filter(F.col("region_id") == r["region_id"])), r)
         file = own.publish(flat.drop("ext", "seq"), name, regions, name=name)
-        for e in own._read(f"{own.work}/manifest.json", []):
+        for e in own.files.read_json(f"{own.work}/manifest.json", []):
             self._index(e)
         return file
 
@@ -213,15 +230,15 @@ class Engine:
 
     def reset(self, continent: str | None = None) -> None:
         """Forget the store, what is done and what is published of one continent, or of all."""
-        marks = self._read(f"{self.work}/finalized.json", {})
+        marks = self.files.read_json(f"{self.work}/finalized.json", {})
         gone = [continent] if continent else sorted({*marks, *(r[0] for r in self.done().select("continent").distinct().collect())})
         for c in gone:
             marks.pop(c, None)
             for table in ("chunk", "record"):
-                shutil.rmtree(f"{self.work}/store/{table}/continent={c}", ignore_errors=True)
+                self.files.delete(f"{self.work}/store/{table}/continent={c}")
             for r in self.done().filter(F.col("continent") == c).select("region").collect():
-                shutil.rmtree(f"{self.work}/done/region={r['region']}", ignore_errors=True)
-        self._write(f"{self.work}/finalized.json", marks)
+                self.files.delete(f"{self.work}/done/region={r['region']}")
+        self.files.write_json(f"{self.work}/finalized.json", marks)
 
     def inspect(self, x: int, y: int) -> DataFrame:
         """(continent, region, nodes, ways, relations) that the store holds of one tile, in every continent."""
@@ -231,36 +248,21 @@ class Engine:
 
     def cells(self) -> list[dict]:
         """Coverage cells of published archives from their directories alone, put into the index."""
-        entries = self._read(f"{self.work}/manifest.json", [])
-        self.spark.dataSource.register(pmtiles.PMTilesSource)
+        entries = self.files.read_json(f"{self.work}/manifest.json", [])
+        path = {e["name"]: f"{self.out}/{e['file']}" for e in entries}
+        found = pmtiles.covered_cells(pmtiles.read_leaves(self.spark, self.files, sorted(path.values()))).collect() if entries else []
         for e in entries:
-            found = pmtiles.covered_cells(self.spark.read.format("pmtiles").load(f"{self.out}/{e['file']}"))
-            e["cells"] = sorted(r["cell"] for r in found.collect())
+            e["cells"] = sorted(r["cell"] for r in found if r["path"] == path[e["name"]])
         for e in entries:
             self._index(e)
         return entries
 
     def _check_space(self) -> None:
-        os.makedirs(self.work, exist_ok=True)
-        if shutil.disk_usage(self.work).free < self.least_free:
+        if self.files.free(self.work) < self.least_free:
             raise OSError("too little disk space is free")
 
     def _table(self, path: str, schema: str) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(path) if os.path.isdir(path) else self.spark.createDataFrame([], schema)
-
-    @staticmethod
-    def _write(path: str, value) -> None:
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-        with open(f"{path}.new", "w") as f:
-            json.dump(value, f)
-        os.replace(f"{path}.new", path)
-
-    @staticmethod
-    def _read(path: str, default=None):
-        if default is not None and not os.path.exists(path):
-            return default
-        with open(path) as f:
-            return json.load(f)
+        return self.spark.read.schema(schema).parquet(path) if self.files.exists(path) else self.spark.createDataFrame([], schema)
 
 
 def stamp_of(seconds: float) -> str:

@@ -297,6 +297,13 @@ def uncovered_land(v):
     return manifest.uncovered_land(v("fx_point").join(inside, "id", "left_anti"))
 
 
+@query
+def most_uncovered(v):
+    """The 25 one-degree cells with the most points in no shape."""
+    inside = C.point_in_polygon(v("fx_point"), v("fx_ring")).select("id").distinct()
+    return manifest.uncovered_land(v("fx_point").join(inside, "id", "left_anti"), 25)
+
+
 @query
 def plan_summary(v):
     inside = C.point_in_polygon(v("fx_point"), v("fx_ring").filter("ext < 100")).select("id").distinct().withColumn("in", F.lit(1))
@@ -321,8 +328,11 @@ def set_cover(v):
 
 @query
 def plan_regions(v):
-    """The plan: chosen regions with their clip boxes, largest first."""
-    return manifest.plan_regions(*_cover(v), v("fx_point"), v("fx_shape"))
+    """The plan: chosen regions, a row for each of their clip boxes."""
+    plan = manifest.plan_regions(*_cover(v), v("fx_point"), v("fx_shape"))
+    each = plan.select("shape_id", "region_id", "continent", "bytes", F.col("clip").isNull().alias("whole"), F.posexplode_outer("clip").alias("box", "b"))
+    corners = [F.round(F.get("b", F.lit(k)), 6).alias(c) for k, c in enumerate("wsen")]
+    return each.select("shape_id", "region_id", "continent", "bytes", "whole", F.coalesce("box", F.lit(0)).alias("box"), *corners)
 
 
 @query
@@ -440,19 +450,28 @@ def src_osm_elements(v):
     return found.select("kind", "id", F.size("tags").alias("tags"), F.coalesce(F.size("refs"), F.lit(0)).alias("refs"), F.coalesce(F.size("members"), F.lit(0)).alias("members"), M.quantised("lat").alias("lat_q"))
 
 
+def _archive(v) -> DataFrame:
+    """An archive of all points' tiles, whose content is their coverage cell, as a file in a row."""
+    from .sources import pmtiles
+
+    tiles = v("fx_point").select(M.tile_x("lon").alias("x"), M.tile_y("lat").alias("y")).distinct()
+    rows = tiles.select(M.hilbert_id("x", "y").alias("id"), M.cell("x", "y").cast("string").alias("c")).orderBy("id").collect()
+    raw = pmtiles.archive((r["id"], r["c"].encode()) for r in rows)
+    files = v("region").sparkSession.createDataFrame([("a.pmtiles", bytearray(raw))], "path string, content binary")
+    return files
+
+
 @query
 def pmtiles_directory(v):
     """Directory entries of an archive of all points' tiles, whose content is their coverage cell."""
-    import os
-    import tempfile
+    from .sources import pmtiles
+
+    return pmtiles.directory_of(_archive(v)).select(F.explode(F.sequence(F.col("tile_id"), F.col("tile_id") + F.col("run") - 1)).alias("tile_id"), "length")
+
 
+@query
+def archive_cells(v):
+    """Coverage cells of that archive, from its directory alone."""
     from .sources import pmtiles
 
-    tiles = v("fx_point").select(M.tile_x("lon").alias("x"), M.tile_y("lat").alias("y")).distinct()
-    rows = tiles.select(M.hilbert_id("x", "y").alias("id"), M.cell("x", "y").cast("string").alias("c")).orderBy("id").collect()
-    with tempfile.TemporaryDirectory() as folder:
-        pmtiles.write(f"{folder}/a", ((r["id"], r["c"].encode()) for r in rows))
-        with open(os.path.join(folder, "a"), "rb") as f:
-            raw = f.read()
-    files = v("region").sparkSession.createDataFrame([("a.pmtiles", bytearray(raw))], "path string, content binary")
-    return pmtiles.directory_of(files).select(F.explode(F.sequence(F.col("tile_id"), F.col("tile_id") + F.col("run") - 1)).alias("tile_id"), "length")
+    return pmtiles.covered_cells(pmtiles.directory_of(_archive(v))).select("cell")

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.codec import PayloadError, Reader
+from .store import opened
 
 BLOBS_PER_TASK = 64
 SCHEMA = (
@@ -139,15 +140,15 @@ class _Blobs(InputPartition):
 
 class _Reader(DataSourceReader):
     def __init__(self, options) -> None:
-        self.path = options["path"].removeprefix("file://")
+        self.path = options["path"]
 
     def partitions(self):
-        with open(self.path, "rb") as f:
+        with opened(self.path) as f:
             spans = [(offset, size) for kind, offset, size in blob_heads(f) if kind == "OSMData"]
         return [_Blobs(self.path, spans[k : k + BLOBS_PER_TASK]) for k in range(0, len(spans), BLOBS_PER_TASK)]
 
     def read(self, partition):
-        with open(partition.path, "rb") as f:
+        with opened(partition.path) as f:
             for offset, size in partition.spans:
                 f.seek(offset)
                 yield from elements(inflate(f.read(size)))
@@ -170,12 +171,12 @@ class OsmPbfSource(DataSource):
 def read_box(path: str) -> tuple[float, float, float, float] | None:
     """The box of a file's header, or none if anything about it can't be read."""
     try:
-        with open(path, "rb") as f:
+        with opened(path) as f:
             for kind, offset, size in blob_heads(f):
                 if kind == "OSMHeader":
                     f.seek(offset)
                     return header_box(inflate(f.read(size)))
-    except (OSError, KeyError, ValueError, zlib.error):
+    except (OSError, KeyError, ValueError, zlib.error):  # Arrow's own errors are among these
         return None
     return None
 

@@ -17,9 +17,9 @@ FEATURES = (
 
 
 def geojson_index(texts: DataFrame, column: str = "value") -> DataFrame:
-    """(id, name, parent, url, type, coordinates) of each feature of index texts."""
-    each = texts.select(F.explode(F.from_json(column, FEATURES)["features"]).alias("f"))
-    return each.select("f.properties.id", "f.properties.name", "f.properties.parent", F.col("f.properties.urls")["pbf"].alias("url"), "f.geometry.type", "f.geometry.coordinates")
+    """(id, name, parent, url, type, coordinates, place) of each feature of index texts; place: its number in the text."""
+    each = texts.select(F.posexplode(F.from_json(column, FEATURES)["features"]).alias("place", "f"))
+    return each.select("f.properties.id", "f.properties.name", "f.properties.parent", F.col("f.properties.urls")["pbf"].alias("url"), "f.geometry.type", "f.geometry.coordinates", "place")
 
 
 def geojson_rings(index: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from cartospark.functions import codec
+from cartospark.plans.files import Files
 from cartospark.sources import osm_pbf, outlines, pmtiles
 
 TAG = st.fixed_dictionaries({"k": st.text(max_size=5), "v": st.text(max_size=5)})
@@ -45,31 +46,61 @@ def test_payload_errors_and_strings():
 
 @given(st.lists(st.tuples(st.integers(0, 1 << 40), st.binary(max_size=3)), max_size=60, unique_by=lambda x: x[0]))
 @settings(max_examples=30, deadline=None)
-def test_archive_round_trip(tmp_path_factory, tiles):
+def test_archive_round_trip(tiles):
     tiles = sorted(tiles)
-    path = tmp_path_factory.mktemp("a") / "x.pmtiles"
-    size = pmtiles.write(str(path), iter(tiles))
-    raw = path.read_bytes()
+    raw = pmtiles.archive(iter(tiles))
     info = pmtiles.header(raw)
     found = [(i + k, raw[info["data"] + off : info["data"] + off + n]) for i, run, n, off in pmtiles.entries(lambda o, s: raw[o : o + s], info) for k in range(run)]
-    assert found == tiles and size == len(raw)
+    assert found == tiles
 
 
-def test_archive_with_leaves_and_source(spark, tmp_path):
+def test_archive_with_leaves_and_source(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(pmtiles, "PACK", 9_000)
     tiles = [(22369621 + 7 * k, str(k % 977).encode()) for k in range(60000)]
-    path = str(tmp_path / "big.pmtiles")
-    pmtiles.write(path, iter(tiles))
+    path, files = str(tmp_path / "big.pmtiles"), Files(spark)
+    table = lambda rows: spark.createDataFrame([(i, bytearray(c)) for i, c in rows], "tile_id long, frame binary")
+    size = pmtiles.write(files, path, [table(tiles[:50000][::-1]), table(tiles[50000:])])
+    raw = (tmp_path / "big.pmtiles").read_bytes()
+    info = pmtiles.header(raw)
+    assert [(i, raw[info["data"] + off : info["data"] + off + n]) for i, _, n, off in pmtiles.entries(lambda o, s: raw[o : o + s], info)] == tiles
+    assert size == len(raw) and [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["big.pmtiles"]
     spark.dataSource.register(pmtiles.PMTilesSource)
     got = spark.read.format("pmtiles").load(path)
     assert got.count() == 60000 and got.agg({"tile_id": "max"}).first()[0] == tiles[-1][0]
-    files = spark.read.format("binaryFile").load(path)
-    assert pmtiles.directory_of(files).count() == 60000 and pmtiles.covered_cells(pmtiles.directory_of(files)).count() > 1
+    assert spark.read.format("pmtiles").load(f"file://{path}").count() == 60000
+    read = pmtiles.read_leaves(spark, files, [path])
+    assert sorted(tuple(r)[1:] for r in read.collect()) == sorted(tuple(r)[1:] for r in got.collect())
+    whole = spark.read.format("binaryFile").load(path)
+    assert pmtiles.directory_of(whole).count() == 60000 and pmtiles.covered_cells(read).count() > 1
     with pytest.raises(ValueError, match="increase"):
-        pmtiles.write(path, iter([(2, b"a"), (1, b"b")]))
+        pmtiles.write(files, path, [table([(2, b"a")]), table([(1, b"b")])])
     with pytest.raises(codec.PayloadError):
         pmtiles.header(b"x" * 200)
 
 
+def test_files_are_whole_or_not_there(spark, tmp_path):
+    files = Files(spark)
+    source = tmp_path / "from" / "a" / "x.bin"
+    source.parent.mkdir(parents=True)
+    source.write_bytes(bytes(range(256)) * 40)
+    url, folder = f"file://{source}", str(tmp_path / "to")
+    got = files.fetched(url, folder)
+    assert files.read(got) == source.read_bytes() and files.read(got, 5, 3) == b"\x05\x06\x07" and files.size(got) == 10240
+    source.write_bytes(b"later")
+    assert files.read(files.fetched(url, folder))[:2] == b"\x00\x01"  # what is there is not fetched again
+    files.delete(got)
+    assert files.read(files.fetched(url, folder)) == b"later"
+    with pytest.raises(Exception, match="(?i)no such file|not exist"):
+        files.fetched(f"file://{tmp_path}/none", folder)
+    with pytest.raises(RuntimeError), files.writing(f"{folder}/half") as put:
+        put(b"x")
+        raise RuntimeError
+    assert not files.exists(f"{folder}/half") and not files.exists(f"{folder}/none") and files.free(folder) > 0
+    files.write_json(f"{folder}/j", {"a": [1]})
+    files.write_json(f"{folder}/j", {"a": [2]})
+    assert files.read_json(f"{folder}/j") == {"a": [2]} and files.read_json(f"{folder}/k", 7) == 7
+
+
 def test_pbf(spark, tmp_path):
     path = str(tmp_path / "x.osm.pbf")
     nodes = [(1, 47.0000001, 8.5, [("amenity", "bench")]), (4000000001, -33.9, -151.2, [])]

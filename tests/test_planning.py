@@ -2,6 +2,7 @@
 
 import itertools
 import json
+import math
 import random
 
 import pytest
@@ -24,15 +25,33 @@ def box(w, s, e, n):
     return [(w, s), (e, s), (e, n), (w, n)]
 
 
-def test_holes_and_nested_rings(spark):
-    shapes = rings(spark, {1: [box(16, -35, 33, -22), box(27, -30.7, 29.5, -28.5)], 2: [box(130, 20, 155, 37), box(153.9, 24.2, 154, 24.4)]})
-    points = spark.createDataFrame([(1, 20.0, -30.0), (2, 28.0, -29.0), (3, 140.0, 30.0), (4, 153.95, 24.3), (5, 0.0, 0.0)], "id long, lon double, lat double")
-    assert sorted(tuple(r) for r in coverage.point_in_polygon(points, shapes).collect()) == [(1, 1), (2, 3)]
+def parity(x, y, own):
+    """Is a point in an odd number of rings?  By winding along a ray, ring by ring."""
+    odd = 0
+    for ring in own:
+        for (x1, y1), (x2, y2) in zip(ring, [*ring[1:], ring[0]], strict=True):
+            odd += (y1 > y) != (y2 > y) and x < x1 + (y - y1) / (y2 - y1) * (x2 - x1)
+    return odd % 2 == 1
+
+
+def test_points_in_shapes_with_holes_islands_and_long_edges(spark):
+    r = random.Random(3)
+    star = [(40 + (9 if k % 2 else 4) * math.cos(k * math.pi / 9), 5 + (9 if k % 2 else 4) * math.sin(k * math.pi / 9)) for k in range(18)]
+    shapes = {
+        1: [box(-20, -15, -5, 2), box(-16, -10, -9, -4), box(-14, -8, -12, -6)],
+        2: [star, box(39, 4, 41, 6)],
+        3: [[(-170.0, -80.0), (170.0, -79.0), (0.0, 83.0)]],
+    }
+    points = [(k, r.uniform(-60, 60), r.uniform(-30, 30)) for k in range(600)] + [(600, -13.0, -7.0), (601, -10.0, -5.0), (602, 40.0, 5.0)]
+    got = coverage.point_in_polygon(spark.createDataFrame(points, "id long, lon double, lat double"), rings(spark, shapes))
+    expect = {(e, k) for e, own in shapes.items() for k, x, y in points if parity(x, y, own)}
+    assert {tuple(x) for x in got.collect()} == expect and len({e for e, _ in expect}) == 3
 
 
 def test_small_ring_gets_many_samples(spark):
-    got = coverage.ring_samples(rings(spark, {1: [box(-77.12, 38.79, -76.91, 38.995)]}), ["ext"])
-    assert got.count() > 500
+    ring = [(11.0, 60.0), (11.3, 60.05), (11.2, 60.2), (11.05, 60.15)]
+    got = coverage.ring_samples(rings(spark, {1: [ring]}), ["ext"]).collect()
+    assert 500 < len(got) == len({(x["lon"], x["lat"]) for x in got}) and all(parity(x["lon"], x["lat"], [ring]) for x in got)
 
 
 def test_land_and_islands(spark):
