@@ -39,7 +39,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules first, then trust and distrust over host links, for all pages."""
-    return judged(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
+    return judged(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
