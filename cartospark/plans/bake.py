@@ -70,6 +70,15 @@ class Bake:
         """(continent, x, y, kind, id, ext, seq): one row per element and tile, with the region it is taken from."""
         return merge.merged(self.elements, self.regions)
 
+    def hold(self) -> None:
+        """Keep geometry, tiles of ways and kept relations for the several tables that are made of them, until release()."""
+        for name in ("geometry", "way_tiles", "kept_relations"):
+            self.__dict__[name] = getattr(self, name).persist()
+
+    def release(self) -> None:
+        for name in ("geometry", "way_tiles", "kept_relations"):
+            self.__dict__[name].unpersist()
+
     def stats(self) -> DataFrame:
         """(ext, pois, ways, relations, records): what a region contributes, before clipping but for records."""
         count = lambda df, name: df.groupBy("ext").agg(F.count("*").alias(name))

@@ -112,8 +112,10 @@ class Engine:
     def bake(self, flow: Bake, region) -> None:
         """Bake one region into the store and mark it done; its rows replace earlier ones."""
         where = {"continent": F.lit(region["continent"]), "region": F.lit(region["region_id"])}
+        flow.hold()
         for name, df in (("chunk", flow.chunks().drop("ext")), ("record", flow.records().drop("ext"))):
             df.withColumns(where).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("continent", "region").parquet(f"{self.work}/store/{name}")
+        flow.release()
         counts = self._stored_sizes(region["continent"], region["region_id"])
         mark = [(region["region_id"], region["continent"], int(region["bytes"]), *counts, stamp_of(self.clock()))]
         done = self.spark.createDataFrame(mark, "region string, continent string, bytes long, slices long, tiles long, payload_bytes long, finished_at string")

@@ -39,20 +39,22 @@ def bake_of(elements: DataFrame, regions: DataFrame) -> Bake:
     return Bake(kind("node").select("ext", "id", "lat", "lon", "tags"), ways.select("ext", "id", "tags"), refs, relations.select("ext", "id", "tags"), members, regions, clips)
 
 
-def bake_files(spark: SparkSession, path_of: Callable[[str], str]) -> Callable[[DataFrame], Bake]:
+def bake_files(spark: SparkSession, path_of: Callable[[str], str], store: str) -> Callable[[DataFrame], Bake]:
     """What Engine.run takes as inputs: regions to the bake of their extracts, path_of(region_id) being a region's file.
 
-    A file is read by blobs, many tasks to an extract, from any store that Arrow reads.
+    A file is read by blobs, many tasks to an extract, from any store that Arrow reads, and decoded once: into a table in the folder
+    ``store``, parted by kind, of which each step of the bake reads its kind and columns.
     """
     spark.dataSource.register(osm_pbf.OsmPbfSource)
 
     def inputs(regions: DataFrame) -> Bake:
         listed = regions.select("ext", "region_id").collect()  # a row for each region
-        each = [spark.read.format("osmpbf").load(path_of(r["region_id"])).withColumn("ext", F.lit(r["ext"])) for r in listed]
-        elements = each[0]
-        for more in each[1:]:
-            elements = elements.union(more)
-        return bake_of(elements, regions)
+        where = f"{store}/elements"
+        for k, r in enumerate(listed):
+            rows = spark.read.format("osmpbf").load(path_of(r["region_id"])).withColumn("ext", F.lit(r["ext"]))
+            rows.write.mode("append" if k else "overwrite").option("compression", "zstd").partitionBy("kind").parquet(where)
+        schema = f"ext int, {osm_pbf.SCHEMA}"
+        return bake_of(spark.read.schema(schema).parquet(where), regions)
 
     return inputs
 
@@ -60,6 +62,21 @@ def bake_files(spark: SparkSession, path_of: Callable[[str], str]) -> Callable[[
 # -- plan ------------------------------------------------------------------------------------------
 
 
+def measured(spark: SparkSession, ids: list[str], path_of: Callable[[str], str]) -> tuple[dict[str, int], dict[str, list[float]]]:
+    """(sizes, header boxes) by id of extracts that are in place, path_of(id) being an extract's file; only headers are read.
+
+    They are what ``read_plan`` takes as JSON files.  An extract that is missing has no size, and one without a box in its header no box.
+    """
+    files, sizes, boxes = Files(spark), {}, {}
+    for i in ids:
+        if files.exists(path_of(i)):
+            sizes[i] = files.size(path_of(i))
+            if (box := osm_pbf.read_box(path_of(i))) is not None:
+                west, south, east, north = box
+                boxes[i] = [west, south, east, north]
+    return sizes, boxes
+
+
 @dataclass
 class PlanInputs:
     """What Engine.plan takes: sample points (id, lon, lat), rings (ext, ring, pos, lon, lat) and shapes

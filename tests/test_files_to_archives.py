@@ -9,7 +9,7 @@ from cartospark import schemas as S
 from cartospark.operators import merge
 from cartospark.plans.engine import Engine
 from cartospark.plans.files import Files
-from cartospark.plans.inputs import bake_files, read_plan
+from cartospark.plans.inputs import bake_files, measured, read_plan
 from cartospark.sources import osm_pbf, outlines
 from cartospark.streaming.incremental import bake_arrivals
 
@@ -34,7 +34,7 @@ def test_extracts_become_archives(spark, tmp_path):
         extract(tmp_path / f"{name}.osm.pbf", shift)
     plan = regions(spark, [(0, "one", "here", 300, None), (1, "two", "here", 200, None), (2, "far", "there", 100, None)])
     engine = Engine(spark, f"file://{tmp_path}/work", f"file://{tmp_path}/out", 0)
-    inputs = bake_files(spark, lambda r: f"{tmp_path}/{r}.osm.pbf")
+    inputs = bake_files(spark, lambda r: f"{tmp_path}/{r}.osm.pbf", f"{tmp_path}/decoded")
     files = engine.run(plan, inputs)
     assert len(files) == 2 and engine.run(plan, inputs) == [] and engine.stored("chunk").count() == 0
     done = {r["region"]: r for r in engine.done().collect()}
@@ -53,7 +53,7 @@ def test_the_first_region_of_a_tile_wins_and_can_be_looked_up(spark, tmp_path):
     extract(tmp_path / "two.osm.pbf", 0.0001)
     plan = regions(spark, [(0, "one", "here", 200, None), (1, "two", "here", 300, None)])
     engine = Engine(spark, f"{tmp_path}/work", f"{tmp_path}/out", 0)
-    inputs = bake_files(spark, lambda r: f"{tmp_path}/{r}.osm.pbf")
+    inputs = bake_files(spark, lambda r: f"{tmp_path}/{r}.osm.pbf", f"{tmp_path}/decoded")
     for r in merge.run_order(plan.withColumn("ext", F.col("shape_id"))).collect():
         engine.bake(inputs(merge.run_order(plan.withColumn("ext", F.col("shape_id"))).filter(F.col("region_id") == r["region_id"])), r)
     tiles = engine.tiles(plan, "here").collect()
@@ -70,7 +70,7 @@ def test_clips_and_patches(spark, tmp_path):
     extract(tmp_path / "one.osm.pbf")
     clip = [[12.9, 51.9, 13.1, 52.05]]
     plan = regions(spark, [(0, "one", "here", 300, clip), (1, "none", "here", 200, [])])
-    inputs = bake_files(spark, lambda r: f"{tmp_path}/one.osm.pbf")
+    inputs = bake_files(spark, lambda r: f"{tmp_path}/one.osm.pbf", f"{tmp_path}/decoded")
     engine = Engine(spark, f"{tmp_path}/work", f"{tmp_path}/out", 0)
     # names arrive one by one; what has been baked is not baked again
     for names in (["one"], ["one", "none"]):
@@ -91,6 +91,13 @@ def test_clips_and_patches(spark, tmp_path):
         other.patch(whole, inputs, ["nowhere"])
 
 
+def test_extracts_in_place_are_measured(spark, tmp_path):
+    osm_pbf.write(f"{tmp_path}/a.pbf", [(1, 0.0, 0.0, [])], box=(-2.0, 3.0, 4.5, 6.0))
+    osm_pbf.write(f"{tmp_path}/b.pbf", [(1, 0.0, 0.0, [])])
+    sizes, boxes = measured(spark, ["a", "b", "c"], lambda i: f"{tmp_path}/{i}.pbf")
+    assert sizes == {i: (tmp_path / f"{i}.pbf").stat().st_size for i in "ab"} and boxes == {"a": [-2.0, 3.0, 4.5, 6.0]}
+
+
 def ring(w, s, e, n):
     return [[w, s], [e, s], [e, n], [w, n], [w, s]]
 
