@@ -35,6 +35,8 @@ from .shared import dealt, dropped, one_row_per_id, partitions, released, writte
 
 #: Entries that one map task packs at once; bounds its memory.
 FLUSH = 2_000_000
+#: Entries of all documents for each task that unpacks them; bounds its memory at any size of the input.
+TASK_ENTRIES = 4_000_000
 #: An n-gram in this many documents of one packed batch is reported as frequent.
 LOCAL_FREQUENT = 48
 #: At most so many frequent n-grams are broadcast (8 bytes each).
@@ -301,7 +303,10 @@ def ngram_join(docs: DataFrame, threshold: Fraction = Fraction(3, 4), size: int
     spark = docs.sparkSession
     docs = one_row_per_id(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
     prof = written(profile(docs, size), "profile")
-    cand = written(repeated(docs, size, threshold, _frequent(prof), partitions(spark)), "repeated")
+    # packed rows go to as many tasks as bound what one unpacks at once
+    total = prof.filter("kind = 0").agg(F.sum("n")).first()[0] or 0
+    parts = max(partitions(spark), -(-total // TASK_ENTRIES))
+    cand = written(repeated(docs, size, threshold, _frequent(prof), parts), "repeated")
     released(spark)
     each = prof.filter("kind = 0").select("doc_id", "n", "d1", "d2")
     classes = each.filter("n > 0 AND doc_id IS NOT NULL").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))

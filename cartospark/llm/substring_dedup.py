@@ -34,6 +34,8 @@ COVER = (1, 5, 11, 24, 25, 27)
 
 #: Entries that one map task packs at once; bounds its memory.
 FLUSH = 2_000_000
+#: Bytes of all texts for each task that unpacks windows; bounds its memory at any size of the input.
+TASK_BYTES = 32 << 20
 _SCHEMA = "part int, kind int, blob binary"
 _NAMES = ["part", "kind", "blob"]
 
@@ -236,9 +238,11 @@ def removed_runs(docs: DataFrame, texts: DataFrame, min_words: int, period: int,
 def substring_dedup(docs: DataFrame, min_words: int = 50, period: int = PERIOD, cover: tuple[int, ...] = COVER, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_removed, kept): kept words joined by one space; see the module's text for the cases."""
     assert min_words > period and {(a - b) % period for a in cover for b in cover} == set(range(period))
-    parts = partitions(docs.sparkSession)
     docs = one_row_per_id(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
     texts = docs.select("doc_id", "text")
+    # packed rows go to as many tasks as bound what one unpacks at once
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(partitions(docs.sparkSession), -(-size // TASK_BYTES))
     gone = removed_runs(docs, texts, min_words, period, cover, parts)
 
     def cut(batches):

@@ -69,6 +69,7 @@ def test_a_long_text_needs_little_memory():
 def test_a_frequent_ngram_of_many_components_is_split(spark, monkeypatch):
     """All documents share a passage that is rare enough for their prefixes; pairs link or not by their own words."""
     monkeypatch.setattr(ngram_join, "SHARE", 5)
+    monkeypatch.setattr(ngram_join, "TASK_ENTRIES", 300)  # more tasks than shuffle partitions
     monkeypatch.setattr(ngram_join, "MOST_FREQUENT", 0)
     r = random.Random(8)
     vocab = [f"w{k}" for k in range(40)]
@@ -89,6 +90,15 @@ def test_a_frequent_ngram_of_many_components_is_split(spark, monkeypatch):
     assert got == {d: root(d) for d in sets}
 
 
+def test_passages_over_more_tasks_than_partitions(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "TASK_BYTES", 2000)
+    r = random.Random(4)
+    passage = " ".join(f"p{r.randrange(99)}" for _ in range(60))
+    rows = [(k, f"{' '.join(f'a{r.randrange(999)}' for _ in range(r.randrange(80)))} {passage if k % 3 else ''} z{k}") for k in range(40)]
+    got = {x["doc_id"]: (x["n_words"], x["n_removed"]) for x in substring_dedup.substring_dedup(frame(spark, rows)).collect()}
+    assert got == {k: (len(words(t)), 60 if k % 3 and k > 1 else 0) for k, t in rows}
+
+
 def test_one_of_each_group_with_and_without_broadcast(spark, monkeypatch):
     text = " ".join(f"q{k}" for k in range(40))
     rows = [(3, text), (1, text + " more"), (2, text), (9, "else"), (None, text), (7, None)]
