@@ -110,7 +110,7 @@ def test_one_of_each_group_with_and_without_broadcast(spark, monkeypatch):
         assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted(expect, key=repr)
 
 
-@pytest.mark.parametrize("hops", [30, 100])
+@pytest.mark.parametrize("hops", [100])
 def test_trust_on_a_chain_is_that_of_a_dense_solve(spark, hops):
     rows = [(k, f"http://h{k}.aa/x", f'<a href="http://h{k + 1}.aa/">n</a>' if k < hops else "") for k in range(hops + 1)] + [(900, "http://h0.aa/good", "")]
     got = {r["host"]: r["trust"] for r in url_trust.judged(spark.createDataFrame(rows, "page_id long, url string, html string"), [("allow", "h0.aa/good")]).collect()}
