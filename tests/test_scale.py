@@ -1,5 +1,6 @@
 """What must hold at any size: what drivers and tasks hold, and the results of the paths that keep it small."""
 
+import io
 import os
 import re
 
@@ -8,6 +9,7 @@ import pytest
 
 from cartospark import fixtures, registry
 from cartospark.oracles import ORACLES
+from cartospark.sources import osm_pbf
 
 DATA = "/root/testdata/sf0.001"
 
@@ -57,3 +59,27 @@ def test_merge_takes_way_tiles_in_one_pass(spark):
     compared(spark, "merge_dedup")
     bake = registry._bake(lambda name: fixtures.view(spark, DATA, name))
     assert executed(bake.merged).count("Generate explode(array_union(") == 1
+
+
+def test_extracts_are_written_by_blobs(spark, tmp_path, monkeypatch):
+    rows = [("node", k, 47.0 + k / 1e7, -8.5, [("a", str(k))], None, None) for k in range(1, 40)]
+    rows += [("way", k, None, None, [], list(range(1, 1 + k)), None) for k in (5, 3, 4000000007)[:2]] + [("way", 4000000007, None, None, [("b", "c")], [1, 2, 1], None)]
+    rows += [("relation", 9, None, None, [], None, [("way", 5, "outer"), ("node", 2, "")])]
+    parts = osm_pbf.blobs_of(spark.createDataFrame(rows[::-1], osm_pbf.SCHEMA).repartition(5), "x", block=10)
+    found = sorted(map(repr, (tuple(r)[1:] for r in osm_pbf.elements_of(parts).collect())))
+    assert found == sorted(map(repr, (tuple(r) for r in spark.createDataFrame(rows, osm_pbf.SCHEMA).collect())))
+    # one blob a row; in their order they are a file that the data source reads
+    blobs = parts.orderBy("rank", "first").collect()
+    assert len(blobs) >= 7 and all(len(list(osm_pbf.blob_heads(io.BytesIO(r["content"])))) == 1 for r in blobs)
+    (tmp_path / "x.osm.pbf").write_bytes(b"".join(r["content"] for r in blobs))
+    spark.dataSource.register(osm_pbf.OsmPbfSource)
+    assert sorted(map(repr, (tuple(r) for r in spark.read.format("osmpbf").load(f"{tmp_path}/x.osm.pbf").collect()))) == found
+
+
+def test_no_element_of_an_extract_comes_to_the_driver(spark, monkeypatch):
+    kind = type(spark.range(0))
+    monkeypatch.setattr(kind, "collect", lambda self: pytest.fail("collected"))
+    query = registry.QUERIES["src_osm_elements"](spark, DATA)
+    monkeypatch.undo()
+    assert query.count() > 1000
+    compared(spark, "src_osm_elements")
