@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 from cartospark import fixtures, registry
+from cartospark.functions import tilemath as M
 from cartospark.oracles import ORACLES
 from cartospark.sources import osm_pbf
 
@@ -83,3 +84,10 @@ def test_no_element_of_an_extract_comes_to_the_driver(spark, monkeypatch):
     monkeypatch.undo()
     assert query.count() > 1000
     compared(spark, "src_osm_elements")
+
+
+def test_stamps_beyond_the_year_9999_have_no_sign(spark):
+    at = [0, -1, 951786061, 253402300799, 253402300800, 519429782400, None]
+    rows = spark.createDataFrame([(k, s) for k, s in enumerate(at)], "k int, s long").select("k", M.build_stamp("s").alias("t"), M.build_stamp("s", False).alias("d")).orderBy("k").collect()
+    assert [r["t"] for r in rows] == ["19700101-000000", "19691231-235959", "20000229-010101", "99991231-235959", "100000101-000000", "184300127-184000", None]
+    assert [r["d"] for r in rows] == [r["t"] and r["t"].partition("-")[0] for r in rows]
