@@ -8,8 +8,10 @@ import duckdb
 import pytest
 
 from cartospark import fixtures, registry
+from cartospark.functions import codec
 from cartospark.functions import tilemath as M
 from cartospark.oracles import ORACLES
+from cartospark.plans.bake import assembled
 from cartospark.sources import osm_pbf
 
 DATA = "/root/testdata/sf0.001"
@@ -91,3 +93,23 @@ def test_stamps_beyond_the_year_9999_have_no_sign(spark):
     rows = spark.createDataFrame([(k, s) for k, s in enumerate(at)], "k int, s long").select("k", M.build_stamp("s").alias("t"), M.build_stamp("s", False).alias("d")).orderBy("k").collect()
     assert [r["t"] for r in rows] == ["19700101-000000", "19691231-235959", "20000229-010101", "99991231-235959", "100000101-000000", "184300127-184000", None]
     assert [r["d"] for r in rows] == [r["t"] and r["t"].partition("-")[0] for r in rows]
+
+
+def test_tiles_are_encoded_as_their_elements_come(spark, monkeypatch):
+    """Without a row that holds a tile, in parts, to the same bytes."""
+    bake = registry._bake(lambda name: fixtures.view(spark, DATA, name))
+    rows = bake.tile_rows().persist()
+    keys = ["continent", "x", "y"]
+    got = codec.payloads_of(rows, keys, 3)
+    assert "collect_list(node" not in executed(got)
+    expect = codec.with_payload(assembled(rows, keys), 3)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expect.collect()))
+    back = codec.elements_of(got).groupBy(*keys, "kind").count()
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.groupBy(*keys, "kind").count().collect()))
+    rows.unpersist()
+
+
+def test_round_trip_holds_no_tile_in_a_row(spark):
+    plan = executed(registry.QUERIES["encode_roundtrip"](spark, DATA))
+    assert "collect_list(way" not in plan and plan.count("MapInArrow") == 2
+    compared(spark, "encode_roundtrip")
