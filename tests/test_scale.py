@@ -113,3 +113,9 @@ def test_round_trip_holds_no_tile_in_a_row(spark):
     plan = executed(registry.QUERIES["encode_roundtrip"](spark, DATA))
     assert "collect_list(way" not in plan and plan.count("MapInArrow") == 2
     compared(spark, "encode_roundtrip")
+
+
+def test_strings_are_counted_without_tiles_in_rows(spark):
+    plan = executed(registry.QUERIES["string_dictionary"](spark, DATA))
+    assert "collect_list(way" not in plan and "collect_list(node" not in plan
+    compared(spark, "string_dictionary")
